@@ -15,6 +15,7 @@ follow, up to a bound. All of it is local to a task: nothing is shuffled.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
@@ -27,9 +28,11 @@ from pyspark.sql import DataFrame
 from sieveline.llm.common import only, pieces_of
 
 #: Pieces that a worker keeps the ids of; with more, it starts anew.
-KEPT = 600_000
+KEPT = 1_000_000
+#: The id of a break between pre-tokens; no vocabulary has as many.
+BREAK = 0xFFFFFF
 #: Where white space stands beside a space, a text can't be cut by spaces alone.
-SPACE_RUN = re.compile(r" \s|\s ")
+SPACE_RUN = re.compile(r" (?:\s|(?<=\s ))")
 CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -51,6 +54,11 @@ class RankQueue:
             level[word] |= 1 << (rank & 63)
             rank = word
 
+    def fill(self, rank: int, places: list[int]) -> None:
+        """The first places of a bucket that has none."""
+        self.push(rank, -1)
+        self.buckets[rank] = places
+
     def pop(self) -> tuple[int, list[int]] | None:
         top = self.levels[2]
         word = next((i for i, w in enumerate(top) if w), -1)
@@ -82,60 +90,72 @@ class Vocabulary:
         self.texts: list[bytes] = [b""] * self.size
         for text, rank in ranks.items():
             self.texts[rank] = text
-        self.byte = [ranks[bytes([i])] for i in range(256)]
+        self.byte = np.array([ranks[bytes([i])] for i in range(256)])
         self.merges: dict[int, int] = {}
         for text, rank in ranks.items():
             for i in range(1, len(text)):
                 a, b = ranks.get(text[:i]), ranks.get(text[i:])
                 if a is not None and b is not None:
                     self.merges[a << 24 | b] = rank
+        self.keys = np.array(sorted(self.merges))
+        self.key_ranks = np.array([self.merges[k] for k in self.keys.tolist()])
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def merged(self, tokens: list[bytes]) -> list[list[int]]:
-        """The ids of each pre-token by merging."""
-        ids: list[int] = []
-        starts = []
-        for t in tokens:
-            starts.append(len(ids))
-            ids.extend([self.byte[c] for c in t])
-            ids.append(-1)  # a break: it pairs with nothing
-        end = len(ids)
-        after = list(range(1, end + 1))
-        before = list(range(-1, end - 1))
-        merges, queue = self.merges, RankQueue(self.size)
-        find, push = merges.get, queue.push
-        for i in range(end - 1):
-            a, b = ids[i], ids[i + 1]
-            if a >= 0 and b >= 0 and (r := find(a << 24 | b)) is not None:
-                push(r, i)
+    def merged(self, tokens: list[bytes]) -> list[bytes]:
+        """The ids of each pre-token by merging, as little-endian unsigned 32-bit integers."""
+        # A break stands first, and after each pre-token; it pairs with nothing.
+        raw = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        lengths = np.array([len(t) for t in tokens])
+        starts = np.cumsum(lengths + 1) - lengths
+        at = np.arange(len(raw)) + np.repeat(np.arange(1, len(tokens) + 1), lengths)
+        first = np.full(len(raw) + len(tokens) + 1, BREAK, dtype=np.int64)
+        first[at] = self.byte[raw]
+        keys = first[:-1] << 24 | first[1:]
+        slot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        pair = np.append(np.where(self.keys[slot] == keys, self.key_ranks[slot], -1), -1)
+        queue = RankQueue(self.size)
+        held = np.flatnonzero(pair >= 0)
+        held = held[np.argsort(pair[held], kind="stable")]
+        ranks, begin = np.unique(pair[held], return_index=True)
+        listed = held.tolist()
+        for r, i, j in zip(ranks.tolist(), begin.tolist(), [*begin[1:].tolist(), len(listed)]):
+            queue.fill(r, listed[i:j])
+        ids, ranked = first.tolist(), pair.tolist()
+        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+        find, buckets, push = self.merges.get, queue.buckets, queue.push
         while (found := queue.pop()) is not None:
             rank, places = found
             places.sort()
             for i in places:
-                a = ids[i]
-                j = after[i]
-                if a < 0 or find(a << 24 | ids[j] if ids[j] >= 0 else -1) != rank:
+                if ranked[i] != rank:  # stale
                     continue
-                ids[i] = rank
-                ids[j] = -2
+                j = after[i]
                 k = after[j]
+                h = before[i]
+                ids[i] = rank
+                ranked[j] = -2
                 after[i] = k
                 before[k] = i
-                if (b := ids[k]) >= 0 and (r := find(rank << 24 | b)) is not None:
-                    push(r, i)
-                h = before[i]
-                if h >= 0 and (b := ids[h]) >= 0 and (r := find(b << 24 | rank)) is not None:
-                    push(r, h)
-        out = []
-        for s, t in zip(starts, tokens):
-            own = []
-            i = s
-            while ids[i] >= 0:
-                own.append(ids[i])
-                i = after[i]
-            out.append(own)
-        return out
+                ranked[i] = r = find(rank << 24 | ids[k], -1)
+                if r >= 0:
+                    if r in buckets:
+                        buckets[r].append(i)
+                    else:
+                        push(r, i)
+                ranked[h] = r = find(ids[h] << 24 | rank, -1)
+                if r >= 0:
+                    if r in buckets:
+                        buckets[r].append(h)
+                    else:
+                        push(r, h)
+        kept = np.array(ranked) != -2
+        kept[starts + lengths] = False
+        kept[0] = False
+        out = np.array(ids, dtype="<u4")[kept].tobytes()
+        ends = np.cumsum(kept)[starts + lengths - 1] * 4 if len(tokens) else starts
+        ends = ends.tolist()
+        return [out[i:j] for i, j in zip([0, *ends], ends)]
 
     def _learn(self, pieces: Iterable[str]) -> None:
         """Puts the ids of these pieces, as little-endian bytes, into ``pieces``."""
@@ -143,34 +163,36 @@ class Vocabulary:
             self.pieces.clear()
         if len(self.words) > self.kept:
             self.words.clear()
-        cut = {p: self.pattern.findall(p) for p in pieces}
-        new = {w for own in cut.values() for w in own if w not in self.words}
-        raw = {w: w.encode("utf-8", "replace") for w in new}
+        pieces = list(pieces)
+        cut = list(map(self.pattern.findall, pieces))
+        new = {w for own in cut for w in own if w not in self.words}
         todo = []
-        for w, b in raw.items():
+        for w in new:
+            b = w.encode("utf-8", "replace")
             r = self.ranks.get(b)
             if r is not None:
                 self.words[w] = r.to_bytes(4, "little")
             else:
-                todo.append(w)
+                todo.append((w, b))
         for begin in range(0, len(todo), 20_000):
             part = todo[begin : begin + 20_000]
-            for w, own in zip(part, self.merged([raw[w] for w in part])):
-                self.words[w] = np.array(own, dtype="<u4").tobytes()
-        for p, own in cut.items():
-            self.pieces[p] = b"".join([self.words[w] for w in own])
+            for (w, _), own in zip(part, self.merged([b for _, b in part])):
+                self.words[w] = own
+        words = self.words
+        self.pieces.update((p, b"".join([words[w] for w in own])) for p, own in zip(pieces, cut))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         split = [cut_safely(t) for t in texts]
-        known = self.pieces
-        new = {p for own in split for p in own if p not in known}
-        if new:
-            self._learn(new)
-            known = self.pieces
-            if missing := {p for own in split for p in own if p not in known}:  # the store began anew
-                self._learn(missing)
-        return [b"".join([known[p] for p in own]) for own in split]
+        known = self.pieces.get
+        found = [list(map(known, own)) for own in split]
+        lacking = [i for i, own in enumerate(found) if None in own]
+        while lacking:  # once more at most: if the store began anew
+            self._learn({p for i in lacking for p, got in zip(split[i], found[i]) if got is None})
+            for i in lacking:
+                found[i] = list(map(known, split[i]))
+            lacking = [i for i in lacking if None in found[i]]
+        return [b"".join(own) for own in found]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join([self.texts[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
@@ -208,6 +230,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
+        gc.disable()  # nothing here refers to itself, and looking for that in millions of small lists is slow
         for part in pieces_of(batches, 1, slice_bytes):
             raw = vocab.encode([t or "" for t in part.column(1).to_pylist()])
             ids = pa.array([np.frombuffer(r, dtype="<u4").astype(np.int32) for r in raw], pa.list_(pa.int32()))
@@ -222,6 +245,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
+        gc.disable()  # nothing here refers to itself, and looking for that in millions of small lists is slow
         for part in pieces_of(batches, 1, slice_bytes):
             raw = vocab.encode([t or "" for t in part.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
