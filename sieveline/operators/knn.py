@@ -22,6 +22,10 @@ BLOCK, PLACES = 4096, 12
 OUT = "item_id string, neighbor_id string, similarity double"
 
 
+def _none() -> pd.DataFrame:
+    return pd.DataFrame({"item_id": pd.Series(dtype=str), "neighbor_id": pd.Series(dtype=str), "similarity": pd.Series(dtype=float)})
+
+
 def _best(own: np.ndarray, a: np.ndarray, ids: np.ndarray, b: np.ndarray, k: int) -> pd.DataFrame:
     """``ids`` rise, so a stable sort breaks ties by id."""
     out = []
@@ -38,7 +42,7 @@ def _best(own: np.ndarray, a: np.ndarray, ids: np.ndarray, b: np.ndarray, k: int
         rank = np.arange(len(row)) - np.searchsorted(row, row)
         row, col = row[rank < k], col[rank < k]
         out.append(pd.DataFrame({"item_id": own[i : i + 512][row], "neighbor_id": ids[col], "similarity": s[row, col]}))
-    return pd.concat(out) if out else pd.DataFrame({"item_id": [], "neighbor_id": [], "similarity": []})
+    return pd.concat(out) if out else _none()
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -58,7 +62,7 @@ def exact(clips: DataFrame, k: int = 10, block: int = BLOCK) -> DataFrame:
     def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
         q, c = pdf[pdf["asks"]], pdf[~pdf["asks"]].sort_values("item_id")
         if q.empty or c.empty:
-            return pd.DataFrame({"item_id": [], "neighbor_id": [], "similarity": []})
+            return _none()
         return _best(q["item_id"].to_numpy(), np.stack(q["vec"]), c["item_id"].to_numpy(), np.stack(c["vec"]), k)
 
     return _ranked(asks.unionByName(tells).groupBy("i", "j").applyInPandas(multiply, OUT), k)
@@ -90,7 +94,7 @@ def probe(clips: DataFrame, k: int = 10, cells: int = 100, probes: int = 10, sam
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         q, c = pdf[pdf["asks"]], pdf[~pdf["asks"]].sort_values("item_id")
         if q.empty or c.empty:
-            return pd.DataFrame({"item_id": [], "neighbor_id": [], "similarity": []})
+            return _none()
         return _best(q["item_id"].to_numpy(), np.stack(q["vec"]), c["item_id"].to_numpy(), np.stack(c["vec"]), k)
 
     return _ranked(asks.unionByName(tells).groupBy("cell").applyInPandas(compare, OUT), k)

@@ -8,6 +8,7 @@ from pathlib import PurePosixPath
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 REQUIRED = ("item_id", "session_id", "parent_video_id", "worker_id", "timestamp", "clip_path")
 TRIMMED = REQUIRED[:-1]
@@ -53,7 +54,7 @@ def _blank(c: Column) -> Column:
     return c.isNull() | (strip(c) == "")
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _timestamp(values: pd.Series) -> pd.Series:
     def good(v: str | None) -> bool | None:
         if v is None:
@@ -69,7 +70,7 @@ def _timestamp(values: pd.Series) -> pd.Series:
     return values.map(good)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _number(values: pd.Series) -> pd.Series:
     def value(v: str | None) -> float | None:
         try:
