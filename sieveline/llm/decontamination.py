@@ -68,7 +68,11 @@ def _blocks(fp: Column, flips: int) -> Column:
     masks = [sum(1 << b for b in bits) for n in range(flips + 1) for bits in combinations(range(BLOCK_BITS), n)]
     every = F.array(*(F.lit(m).cast("long") for m in masks))
     one = lambda i: F.call_function("shiftrightunsigned", fp, F.lit(i * BLOCK_BITS)).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
-    return F.flatten(F.array(*(F.transform(every, lambda m, i=i: F.struct(F.lit(i).alias("block"), one(i).bitwiseXOR(m).alias("value"))) for i in range(BLOCKS))))
+
+    def entered(i: int) -> Column:
+        return F.transform(every, lambda m: F.struct(F.lit(i).alias("block"), one(i).bitwiseXOR(m).alias("value")))
+
+    return F.flatten(F.array(*map(entered, range(BLOCKS))))
 
 
 def _items(benchmark: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:

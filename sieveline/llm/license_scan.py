@@ -67,7 +67,8 @@ class Automaton:
                 last = state
                 chain = [state]
                 for _ in range(int(parts[i][1:-1])):
-                    last = self.free[last] = self._state()
+                    self.free[last] = self._state()
+                    last = self.free[last]
                     chain.append(last)
                 after = self._state()
                 for s in chain:
