@@ -18,7 +18,7 @@ import base64
 import gc
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 
 from sieveline.llm.common import only, pieces_of
 
-#: Pieces that a worker keeps the ids of; with more, it starts anew.
-KEPT = 1_000_000
+#: Pieces that a worker keeps the ids of, in two halves: the younger, when full, becomes the older, and the older goes.
+KEPT = 300_000
 #: The id of a break between pre-tokens; no vocabulary has as many.
 BREAK = 0xFFFFFF
 #: Where white space stands beside a space, a text can't be cut by spaces alone.
@@ -101,6 +101,7 @@ class Vocabulary:
         self.key_ranks = np.array([self.merges[k] for k in self.keys.tolist()])
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, tokens: list[bytes]) -> list[bytes]:
         """The ids of each pre-token by merging, as little-endian unsigned 32-bit integers."""
@@ -157,13 +158,15 @@ class Vocabulary:
         ends = ends.tolist()
         return [out[i:j] for i, j in zip([0, *ends], ends)]
 
-    def _learn(self, pieces: Iterable[str]) -> None:
+    def _learn(self, pieces: set[str]) -> None:
         """Puts the ids of these pieces, as little-endian bytes, into ``pieces``."""
-        if len(self.pieces) > self.kept:
-            self.pieces.clear()
+        if len(self.pieces) > self.kept // 2:
+            self.older, self.pieces = self.pieces, {}
         if len(self.words) > self.kept:
             self.words.clear()
-        pieces = list(pieces)
+        found = {p: got for p in pieces if (got := self.older.get(p)) is not None}
+        self.pieces.update(found)
+        pieces = [p for p in pieces if p not in found]
         cut = list(map(self.pattern.findall, pieces))
         new = {w for own in cut for w in own if w not in self.words}
         todo = []
@@ -183,15 +186,21 @@ class Vocabulary:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        gc.disable()  # nothing here refers to itself, and looking for that in millions of small lists is slow
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [cut_safely(t) for t in texts]
-        known = self.pieces.get
-        found = [list(map(known, own)) for own in split]
+        found = [list(map(self.pieces.get, own)) for own in split]
         lacking = [i for i, own in enumerate(found) if None in own]
-        while lacking:  # once more at most: if the store began anew
+        if lacking:
             self._learn({p for i in lacking for p, got in zip(split[i], found[i]) if got is None})
+            new, before = self.pieces.get, self.older.get  # a piece found above may be among the older by now
             for i in lacking:
-                found[i] = list(map(known, split[i]))
-            lacking = [i for i in lacking if None in found[i]]
+                found[i] = [got or new(p) or before(p) or b"" for p, got in zip(split[i], found[i])]
         return [b"".join(own) for own in found]
 
     def decode(self, ids: bytes) -> bytes:
@@ -220,7 +229,7 @@ def vocabulary(path: str, pattern: str, kept: int = KEPT) -> Vocabulary:
     return _LOADED[key]
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 4 << 20) -> DataFrame:
+def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 2 << 20) -> DataFrame:
     """``(doc_id, ids, decoded)``: the token ids of every whole text and the bytes that they decode to.
 
     A null text counts as empty: no ids, no bytes. Repeated rows stay repeated; an empty
@@ -230,7 +239,6 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
-        gc.disable()  # nothing here refers to itself, and looking for that in millions of small lists is slow
         for part in pieces_of(batches, 1, slice_bytes):
             raw = vocab.encode([t or "" for t in part.column(1).to_pylist()])
             ids = pa.array([np.frombuffer(r, dtype="<u4").astype(np.int32) for r in raw], pa.list_(pa.int32()))
@@ -239,13 +247,12 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     return only(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
 
 
-def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 4 << 20) -> DataFrame:
+def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 2 << 20) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: :func:`encoded` with digests in place of ids and bytes, made where they are."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
-        gc.disable()  # nothing here refers to itself, and looking for that in millions of small lists is slow
         for part in pieces_of(batches, 1, slice_bytes):
             raw = vocab.encode([t or "" for t in part.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
