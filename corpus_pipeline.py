@@ -11,6 +11,10 @@ from sieveline.shipping import ship
 from sieveline.storage import shared_folder
 
 
+#: Pieces that a worker of the last stage keeps the ids of; it shares the executor's memory with what other stages left.
+KEPT = 100_000
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier rejects."""
     ship(spark)
@@ -43,7 +47,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ship(spark)
-    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, kept=KEPT)
 
 
 STAGES = [

@@ -247,12 +247,12 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     return only(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
 
 
-def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 2 << 20) -> DataFrame:
+def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 2 << 20, kept: int = KEPT) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: :func:`encoded` with digests in place of ids and bytes, made where they are."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path, pattern)
+        vocab = vocabulary(path, pattern, kept)
         for part in pieces_of(batches, 1, slice_bytes):
             raw = vocab.encode([t or "" for t in part.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
