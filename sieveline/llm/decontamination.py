@@ -27,7 +27,7 @@ from sieveline.storage import cut
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 11
 BLOCKS, BLOCK_BITS = 4, 16
-#: Of a run of shared shingles every so manyth places a window, besides the first and the last.
+#: Of a run of shared shingles every so manyth places a window, besides the first and the last; every one that the shortest item could lie between, if that is fewer.
 STEP = 8
 #: Up to so many distinct shingles of all items are looked up in the plan itself; more are joined.
 IN_PLAN = 20_000
@@ -85,10 +85,10 @@ def _items(benchmark: DataFrame, k: int, id_col: str, text_col: str) -> DataFram
     return known.select("item_id", "n", "k", "hashes", simhash(F.col("words")).alias("fp"), _tagged(F.col("hashes"), F.col("ordered")).alias("tags"))
 
 
-def _runs(hits: Column) -> Column:
-    """Of the places of shared shingles: each run's first and last, and every STEPth between."""
+def _runs(hits: Column, step: int) -> Column:
+    """Of the places of shared shingles: each run's first and last, and every ``step``th between."""
     near = lambda i, d: F.get(hits, i + d)
-    return F.filter(hits, lambda p, i: (i == 0) | (near(i, -1) != p - 1) | near(i, 1).isNull() | (near(i, 1) != p + 1) | (p % STEP == 0))
+    return F.filter(hits, lambda p, i: (i == 0) | (near(i, -1) != p - 1) | near(i, 1).isNull() | (near(i, 1) != p + 1) | (p % step == 0))
 
 
 def leaks(
@@ -104,7 +104,7 @@ def leaks(
     """
     items = cut(_items(benchmark, shingle, item_id_col, item_text_col))
     offered = cut(items.select("k", "n", F.posexplode("hashes").alias("offset", "h")).select("k", "n", "offset", "h").distinct())
-    sizes = [r["k"] for r in offered.select("k").distinct().collect()]  # at most ``shingle`` values
+    sizes = {r["k"]: r["least"] for r in items.groupBy("k").agg(F.min(F.col("n") - F.col("k") + 1).alias("least")).collect()}  # at most ``shingle`` rows
     # The row numbers also keep the optimizer from moving a filter below, and so evaluating an array anew for each of its elements.
     rows = only(docs, id_col, text_col).select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("w"), F.monotonically_increasing_id().alias("row"))
     found = []
@@ -122,7 +122,7 @@ def leaks(
             met = each.select("row", F.posexplode("hs").alias("p", "h")).join(known, "h", "left_semi")
             hit = each.join(met.groupBy("row").agg(F.array_sort(F.collect_set("p")).alias("hits")), "row")
         hit = cut(hit.select("row", "doc_id", "w", "hs", "hits"))
-        at = hit.select("row", F.explode(_runs(F.col("hits"))).alias("p"), "hs").select("row", "p", F.get("hs", F.col("p")).alias("h"))
+        at = hit.select("row", F.explode(_runs(F.col("hits"), min(STEP, sizes[k]))).alias("p"), "hs").select("row", "p", F.get("hs", F.col("p")).alias("h"))
         starts = at.join(own, "h").select("row", (F.col("p") - F.col("offset")).alias("start"), "n").distinct()
         within = starts.groupBy("row").agg(F.collect_set(F.struct("start", "n")).alias("at"))
         windows = hit.join(within, "row").select("doc_id", "w", "hs", F.explode("at").alias("x")).where("x.start >= 0 and x.start + x.n <= size(w)")
