@@ -3,8 +3,10 @@
 A gear hash rolls over the UTF-8 bytes of a text; its value at a word's start depends on
 the 16 bytes before it alone. A chunk begins where that value is the least among the
 ``reach`` words on either side, so cuts depend on nearby content only, chunks vary in
-length, and an insertion moves no cut beyond its surroundings. A stretch without a cut
-(one word over and over) is cut every ``longest`` words.
+length, and an insertion moves no cut beyond its surroundings. Equal values all begin a
+chunk, so one word over and over is cut at each; equal chunks in a row are then joined to
+one with the digest of the first, and such stretches match whatever their lengths.
+A stretch without a cut is cut every ``longest`` words.
 
 Chunks are compared by a 64-bit digest. A chunk repeats if two documents have it. A
 passage is a run of neighbouring repeated chunks of ``min_words`` words or more; chance
@@ -50,7 +52,7 @@ def cuts(raw: bytes, reach: int = REACH, longest: int = LONGEST) -> tuple[np.nda
     value = rolled[np.maximum(starts - 1, 0)] * np.uint32(0x9E3779B1)
     least = np.ones(len(value), dtype=bool)
     for s in range(1, reach + 1):
-        least[s:] &= value[s:] < value[:-s]
+        least[s:] &= value[s:] <= value[:-s]
         least[:-s] &= value[:-s] <= value[s:]
     least[0] = True
     found = np.flatnonzero(least)
@@ -71,7 +73,7 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         digest = xxhash.xxh3_64_intdigest
         for part in pieces_of(batches, 1, 4 << 20):
             keys, out = part.column(0).to_numpy(), []
-            digests: list[int] = []
+            digests: list[np.ndarray] = []
             for k, text in zip(keys, part.column(1).to_pylist()):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 found, starts = cuts(raw)
@@ -79,12 +81,16 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                     continue
                 begin = starts[found]
                 end = np.append(begin[1:], len(raw))
-                digests += [digest(raw[a:b].rstrip()) for a, b in zip(begin.tolist(), end.tolist())]
-                out.append((np.full(len(found), k), np.arange(len(found)), begin, end - begin, np.diff(np.append(found, len(starts)))))
+                own = np.array([digest(raw[a:b].rstrip()) for a, b in zip(begin.tolist(), end.tolist())], dtype=np.uint64)
+                new = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                begin, found = begin[new], found[new]
+                end = np.append(begin[1:], len(raw))
+                digests.append(own[new])
+                out.append((np.full(len(new), k), np.arange(len(new)), begin, end - begin, np.diff(np.append(found, len(starts)))))
             if out:
                 k, seq, begin, size, words = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k), pa.array(np.array(digests, dtype=np.uint64).view(np.int64)), pa.array(seq.astype(np.int32)), pa.array(begin.astype(np.int64)), pa.array(size.astype(np.int64)), pa.array(words.astype(np.int32))],
+                    [pa.array(k), pa.array(np.concatenate(digests).view(np.int64)), pa.array(seq.astype(np.int32)), pa.array(begin.astype(np.int64)), pa.array(size.astype(np.int64)), pa.array(words.astype(np.int32))],
                     names=["k", "digest", "seq", "begin", "size", "words"],
                 )
 
@@ -102,7 +108,7 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
     packed = chunks(docs, id_col, text_col).select(
         "k",
         "digest",
-        (F.shiftleft(F.col("seq").cast("long"), 8) + F.col("words")).alias("place"),
+        (F.shiftleft(F.col("seq").cast("long"), 32) + F.col("words")).alias("place"),
         "begin",
         "size",
     )
@@ -118,14 +124,14 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
                 runs: list[list[dict]] = []
                 last = -2
                 for h in own:
-                    seq = h["place"] >> 8
+                    seq = h["place"] >> 32
                     if seq == last:  # an equal row of the same document
                         continue
                     if seq != last + 1:
                         runs.append([])
                     runs[-1].append(h)
                     last = seq
-                length = lambda hs: sum(h["place"] & 255 for h in hs)
+                length = lambda hs: sum(h["place"] & 0xFFFFFFFF for h in hs)
                 runs = [r for r in runs if length(r) >= min_words]
                 if not runs:
                     continue

@@ -205,3 +205,18 @@ def test_substring_dedup(spark, awkward, empty):
     out = substring_dedup.without_repeats(awkward)
     assert out.count() == 10 and out.columns == awkward.columns and substring_dedup.without_repeats(empty).count() == 0
     assert substring_dedup.without_repeats(table.unionByName(table)).count() == 24
+
+
+def test_substring_dedup_of_one_word_over_and_over(spark):
+    rng = random.Random(9)
+    table = docs(spark, [(i, f"{prose(rng, 40)} {w * n}{prose(rng, 40)}") for i, (w, n) in enumerate([("the ", 90), ("the ", 300), ("red the ", 70), ("red the ", 200), ("lone ", 200)])])
+    got = substring_dedup.repeats(table).collect()
+    assert {r["doc_id"] for r in got} == {0, 1, 2, 3} and sum(r["removed_words"] > 0 for r in got) == 2
+
+
+def test_leaks_of_short_items_in_a_row(spark):
+    rng = random.Random(10)
+    items = [(i, prose(rng, 7)) for i in range(9)]
+    text = " ".join(t for _, t in items)
+    got = decontamination.leaks(docs(spark, [(1, text)]), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r["item_id"] for r in got} == set(range(9))
