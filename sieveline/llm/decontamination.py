@@ -2,9 +2,10 @@
 
 A text's words are its runs of letters and digits, lower-cased; its shingles are five
 words (all of them, if an item has fewer). The windows of a text are as long as an item,
-and lie where a shingle of that item would fall on the same shingle of the text: a window
-whose similarity with an item isn't 0 shares a shingle with it, so no other place can
-match. Every window gets the 64-bit SimHash of its words.
+and lie where a shingle of that item would fall on the same shingle of the text. A window
+that would begin before the text or end after it, as where a copy is cut off by the text's
+edge, is moved back to that edge; if the text is shorter than the item, the whole text is
+the window. Every window gets the 64-bit SimHash of its words.
 
 Windows and items meet in a multi-index of four 16-bit blocks. Two fingerprints that
 differ in ``radius`` bits or fewer differ in ``radius // 4`` or fewer in one block at
@@ -98,7 +99,7 @@ def leaks(
     """``(doc_id, item_id, start, n_words, distance, similarity)``: each document and item with a window of at least ``similarity``.
 
     The most similar window is given, of equal ones the first; ``start`` counts words from
-    0. Null, empty and wordless texts and items match nothing. An item of fewer words than
+    0, and ``n_words`` are the window's: the item's, or the text's if it is shorter. Null, empty and wordless texts and items match nothing. An item of fewer words than
     a shingle is one shingle. Rows with equal ids give one row; a null id is an id of its
     own. Empty tables give an empty result.
     """
@@ -122,10 +123,11 @@ def leaks(
             met = each.select("row", F.posexplode("hs").alias("p", "h")).join(known, "h", "left_semi")
             hit = each.join(met.groupBy("row").agg(F.array_sort(F.collect_set("p")).alias("hits")), "row")
         hit = cut(hit.select("row", "doc_id", "w", "hs", "hits"))
-        at = hit.select("row", F.explode(_runs(F.col("hits"), min(STEP, sizes[k]))).alias("p"), "hs").select("row", "p", F.get("hs", F.col("p")).alias("h"))
-        starts = at.join(own, "h").select("row", (F.col("p") - F.col("offset")).alias("start"), "n").distinct()
+        at = hit.select("row", F.explode(_runs(F.col("hits"), min(STEP, sizes[k]))).alias("p"), "hs").select("row", "p", F.get("hs", F.col("p")).alias("h"), (F.size("hs") + k - 1).alias("size"))
+        start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("offset"), F.col("size") - F.col("n")))
+        starts = at.join(own, "h").select("row", start.alias("start"), "n").distinct()
         within = starts.groupBy("row").agg(F.collect_set(F.struct("start", "n")).alias("at"))
-        windows = hit.join(within, "row").select("doc_id", "w", "hs", F.explode("at").alias("x")).where("x.start >= 0 and x.start + x.n <= size(w)")
+        windows = hit.join(within, "row").select("doc_id", "w", "hs", F.explode("at").alias("x"))
         found.append(
             windows.select(
                 "doc_id",
@@ -141,17 +143,17 @@ def leaks(
         return docs.sparkSession.createDataFrame([], f"doc_id {kind}, item_id {item}, start int, n_words int, distance int, similarity double")
     windows = cut(reduce(DataFrame.unionByName, found).withColumn("ordered", F.sort_array("hashes")).withColumn("row", F.monotonically_increasing_id()))
     tags = _tagged(F.col("hashes"), F.col("ordered")).alias("tags")
-    prints = cut(windows.select("row", "doc_id", "k", "start", "n", simhash(F.col("words")).alias("fp"), tags))
+    prints = cut(windows.select("row", "doc_id", "k", "start", "n", F.size("words").alias("n_words"), simhash(F.col("words")).alias("fp"), tags))
     probes = prints.select("row", "k", "n", "fp", F.inline(_blocks(F.col("fp"), 0)))
     index = items.select("item_id", "k", "n", F.col("fp").alias("item_fp"), "tags", F.inline(_blocks(F.col("fp"), radius // BLOCKS)))
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     met = probes.join(index.drop("tags"), ["block", "value", "k", "n"]).where(distance <= radius).select("row", "item_id", "item_fp", distance.alias("distance")).distinct()
-    pairs = prints.select("row", "doc_id", "start", "n", "tags").join(met, "row")
+    pairs = prints.select("row", "doc_id", "start", "n", "n_words", "tags").join(met, "row")
     theirs = items.select(F.col("item_id").alias("theirs"), F.col("fp").alias("their_fp"), F.col("n").alias("their_n"), F.col("tags").alias("item_tags"))
     pairs = pairs.join(theirs, F.col("item_id").eqNullSafe(F.col("theirs")) & (F.col("item_fp") == F.col("their_fp")) & (F.col("n") == F.col("their_n")))
     shared = F.size(F.array_intersect("tags", "item_tags"))
     same = (shared / (F.size("tags") + F.size("item_tags") - shared)).alias("similarity")
-    kept = pairs.select("doc_id", "item_id", "start", F.col("n").alias("n_words"), "distance", same).where(F.col("similarity") >= similarity)
+    kept = pairs.select("doc_id", "item_id", "start", "n_words", "distance", same).where(F.col("similarity") >= similarity)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "n_words", "distance")).alias("best")
     return kept.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("best.before")).alias("start"), "best.n_words", "best.distance", "best.similarity")
 

@@ -220,3 +220,14 @@ def test_leaks_of_short_items_in_a_row(spark):
     text = " ".join(t for _, t in items)
     got = decontamination.leaks(docs(spark, [(1, text)]), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {r["item_id"] for r in got} == set(range(9))
+
+
+@pytest.mark.parametrize("in_plan", [decontamination.IN_PLAN, 2])
+def test_leaks_that_the_text_s_edges_cut_off(spark, in_plan):
+    rng = random.Random(11)
+    items = [(i, prose(rng, n)) for i, n in enumerate([60, 60, 30, 14])]
+    own = [t.split() for _, t in items]
+    rows = [(1, f"{' '.join(own[0][3:])} {prose(rng, 40)}"), (2, f"{prose(rng, 40)} {' '.join(own[1][:-3])}"), (3, " ".join(own[2][1:])), (4, " ".join(own[3][:-1])), (5, " ".join(own[2][:20])), (6, " ".join(own[0][20:]) + " " + prose(rng, 40))]
+    got = decontamination.leaks(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"), in_plan=in_plan).collect()
+    found = {(r["doc_id"], r["item_id"]): (r["start"], r["n_words"], r["similarity"]) for r in got}
+    assert found == {(1, 0): (0, 60, pytest.approx(53 / 59)), (2, 1): (37, 60, pytest.approx(53 / 59)), (3, 2): (0, 29, pytest.approx(25 / 26)), (4, 3): (0, 13, pytest.approx(9 / 10))}
