@@ -30,7 +30,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the passages that an earlier document has; ``n_chars`` follows the text."""
+    """Without the passages that occur before, in the text or in another document; ``n_chars`` follows the text."""
     ship(spark)
     out = substring_dedup.without_repeats(docs)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -8,11 +8,11 @@ chunk, so one word over and over is cut at each; equal chunks in a row are then
 one with the digest of the first, and such stretches match whatever their lengths.
 A stretch without a cut is cut every ``longest`` words.
 
-Chunks are compared by a 64-bit digest. A chunk repeats if two documents have it. A
-passage is a run of neighbouring repeated chunks of ``min_words`` words or more; chance
-repeats of one chunk never reach that. Of each repeated chunk in passages the document
-with the smallest key keeps its copy and the others lose theirs. The key of a document
-is a hash of id and text: equal rows count as one document.
+Chunks are compared by a 64-bit digest. A chunk repeats if it occurs twice, in two
+documents or in one. A passage is a run of neighbouring repeated chunks of ``min_words``
+words or more; chance repeats of one chunk never reach that. Of each repeated chunk in
+passages the document with the smallest key keeps its first copy, and all others go. The
+key of a document is a hash of id and text: equal rows count as one document.
 """
 
 from __future__ import annotations
@@ -67,7 +67,7 @@ def key(id_col: str = "doc_id", text_col: str = "text") -> Column:
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(k, digest, seq, begin, size, words)``: every chunk of every whole text, with its place and size in bytes."""
+    """``(k, digest, seq, begin, size, words, again)``: every chunk of every whole text, with its place and size in bytes, and whether the text has had it before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
@@ -86,23 +86,25 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 begin, found = begin[new], found[new]
                 end = np.append(begin[1:], len(raw))
                 digests.append(own[new])
-                out.append((np.full(len(new), k), np.arange(len(new)), begin, end - begin, np.diff(np.append(found, len(starts)))))
+                again = np.ones(len(new), dtype=bool)
+                again[np.unique(own[new], return_index=True)[1]] = False
+                out.append((np.full(len(new), k), np.arange(len(new)), begin, end - begin, np.diff(np.append(found, len(starts))), again))
             if out:
-                k, seq, begin, size, words = (np.concatenate(x) for x in zip(*out))
+                k, seq, begin, size, words, again = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k), pa.array(np.concatenate(digests).view(np.int64)), pa.array(seq.astype(np.int32)), pa.array(begin.astype(np.int64)), pa.array(size.astype(np.int64)), pa.array(words.astype(np.int32))],
-                    names=["k", "digest", "seq", "begin", "size", "words"],
+                    [pa.array(k), pa.array(np.concatenate(digests).view(np.int64)), pa.array(seq.astype(np.int32)), pa.array(begin.astype(np.int64)), pa.array(size.astype(np.int64)), pa.array(words.astype(np.int32)), pa.array(again)],
+                    names=["k", "digest", "seq", "begin", "size", "words", "again"],
                 )
 
     rows = docs.select(key(id_col, text_col).alias("k"), F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInArrow(run, "k bigint, digest bigint, seq int, begin bigint, size bigint, words int")
+    return rows.mapInArrow(run, "k bigint, digest bigint, seq int, begin bigint, size bigint, words int, again boolean")
 
 
 def passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(k, repeated_words, removed_words, spans)`` for each document with a repeated passage.
 
     ``spans`` are the places ``(begin, size)``, in bytes, that the document loses; a
-    document that keeps all its copies has none. Null, empty and wordless texts have no
+    document that keeps all its text has none. Null, empty and wordless texts have no
     chunks; an empty table gives an empty result.
     """
     packed = chunks(docs, id_col, text_col).select(
@@ -111,10 +113,11 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
         (F.shiftleft(F.col("seq").cast("long"), 32) + F.col("words")).alias("place"),
         "begin",
         "size",
+        "again",
     )
     rows = cut(packed)
-    repeated = rows.groupBy("digest").agg(F.min("k").alias("keeper"), F.max("k").alias("other")).where("keeper <> other")
-    hits = rows.join(repeated.select("digest", "keeper"), "digest").select("k", "place", "begin", "size", (F.col("k") == F.col("keeper")).alias("mine"))
+    repeated = rows.groupBy("digest").agg(F.min("k").alias("keeper"), F.max("k").alias("other"), F.max("again").alias("within")).where("keeper <> other or within")
+    hits = rows.join(repeated.select("digest", "keeper"), "digest").select("k", "place", "begin", "size", ((F.col("k") == F.col("keeper")) & ~F.col("again")).alias("mine"))
     by_doc = hits.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("place", "begin", "size", "mine"))).alias("hits"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +156,7 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
 
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_spans, repeated_words, removed_words, spans)`` of each row whose text shares a passage with another document."""
+    """``(doc_id, n_spans, repeated_words, removed_words, spans)`` of each row whose text has a passage that occurs again, in it or in another document."""
     found = passages(docs, min_words, id_col, text_col)
     ids = docs.select(key(id_col, text_col).alias("k"), F.col(f"`{id_col}`").alias("doc_id"))
     return ids.join(found, "k").select("doc_id", F.size("spans").cast("long").alias("n_spans"), "repeated_words", "removed_words", "spans")

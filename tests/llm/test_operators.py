@@ -231,3 +231,15 @@ def test_leaks_that_the_text_s_edges_cut_off(spark, in_plan):
     got = decontamination.leaks(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"), in_plan=in_plan).collect()
     found = {(r["doc_id"], r["item_id"]): (r["start"], r["n_words"], r["similarity"]) for r in got}
     assert found == {(1, 0): (0, 60, pytest.approx(53 / 59)), (2, 1): (37, 60, pytest.approx(53 / 59)), (3, 2): (0, 29, pytest.approx(25 / 26)), (4, 3): (0, 13, pytest.approx(9 / 10))}
+
+
+def test_substring_dedup_within_one_document(spark):
+    rng = random.Random(12)
+    twice = prose(rng, 60)
+    rows = [(1, f"{prose(rng, 40)} {twice} {prose(rng, 50)} {twice} {prose(rng, 40)} {twice}"), (2, prose(rng, 200))]
+    table = docs(spark, rows)
+    got = substring_dedup.repeats(table.unionByName(table)).collect()
+    assert [r["doc_id"] for r in got] == [1, 1] and all(r["n_spans"] == 2 for r in got)
+    left = {r["doc_id"]: r["text"] for r in substring_dedup.without_repeats(table).collect()}
+    middle = " ".join(twice.split()[15:45])
+    assert left[1].count(middle) == 1 and left[1].index(middle) == rows[0][1].index(middle) and left[2] == rows[1][1]
