@@ -27,6 +27,7 @@ LEXICON = frozenset(
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te ton ta tes toi vous votre tú ti tus usted vosotros".split())
 WORD = re.compile(r"[^\W_]+(?:[*@$!1-9]+[^\W_]+)*")
 HIDDEN = re.compile(r"[^\W\d_]+[*@$!1-9]+[^\W\d_]+|(?<!\w)(?:[^\W\d_][ .\-]){3,}[^\W\d_](?!\w)")
+ASCII = re.compile(r"[\x00-\x7f]+")
 MARKS, MANY = re.compile(r"[^\w\s]"), re.compile(r"([!?*$#%&])\1")
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 N_FEATURES = 16
@@ -57,16 +58,17 @@ def features(text: str, weights: dict[str, float], shortest: frozenset[str]) ->
                     hits.append(i)
     near = sum(any(w in SECOND for w in words[max(0, i - 4) : i + 5]) for i in hits)
     letters = max(1, len(text))
-    upper = sum(map(str.isupper, text)) if len(text) < 4096 else int(np.count_nonzero(_capital(text)))
+    upper = _capitals(text)
     return [
         len(hits) / n, np.log1p(len(hits)), learnt / n, np.log1p(learnt), best, strong / n, np.log1p(len(kinds)), near / max(1, len(hits)), near / n,
         upper / letters, len(MARKS.findall(text)) / letters, text.count("!") / letters, len(MANY.findall(text)) / n, len(HIDDEN.findall(low)) / n, np.log1p(len(words)), letters / n,
     ]
 
 
-def _capital(text: str) -> np.ndarray:
+def _capitals(text: str) -> int:
+    """The number of capitals of any alphabet; A to Z are counted as bytes."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    return (raw >= 65) & (raw <= 90)
+    return int(np.count_nonzero((raw >= 65) & (raw <= 90))) + sum(map(str.isupper, ASCII.sub("", text)))
 
 
 class Trees:

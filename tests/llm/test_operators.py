@@ -243,3 +243,8 @@ def test_substring_dedup_within_one_document(spark):
     left = {r["doc_id"]: r["text"] for r in substring_dedup.without_repeats(table).collect()}
     middle = " ".join(twice.split()[15:45])
     assert left[1].count(middle) == 1 and left[1].index(middle) == rows[0][1].index(middle) and left[2] == rows[1][1]
+
+
+def test_capitals_have_one_definition_at_every_length():
+    for text in ["É Ñ a B ç", "Ça VA Été ÑU 漢 " * 400, "ABC def " * 600, ""]:
+        assert toxicity.features(text, {}, frozenset())[9] == sum(map(str.isupper, text)) / max(1, len(text))
