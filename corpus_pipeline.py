@@ -22,11 +22,16 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest id. Rows without an id stay."""
+    """One row of each near-duplicate group stays: the one with the smallest id, or without an id if none has one.
+
+    Of rows with equal ids the one with the smallest hash stays, of rows with equal texts besides any one.
+    """
     ship(spark)
-    found = simhash.near_duplicates(docs)
-    gone = found.where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    keyed = docs.withColumn("__key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
+    named = keyed.withColumn("__row", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("__key").alias("key")))
+    found = simhash.near_duplicates(named, id_col="__row")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id.key").alias("__key")).distinct()
+    return keyed.join(gone, "__key", "left_anti").dropDuplicates(["__key"]).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ import tiktoken
 import xxhash
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from sieveline.llm import bpe, decontamination, embedding_forest, license_scan, quality, simhash, substring_dedup, token_counts, toxicity, url_filters
 from sieveline.llm.common import held_out
 
@@ -248,3 +249,13 @@ def test_substring_dedup_within_one_document(spark):
 def test_capitals_have_one_definition_at_every_length():
     for text in ["É Ñ a B ç", "Ça VA Été ÑU 漢 " * 400, "ABC def " * 600, ""]:
         assert toxicity.features(text, {}, frozenset())[9] == sum(map(str.isupper, text)) / max(1, len(text))
+
+
+def test_one_row_of_each_group_goes_on_in_the_pipeline(spark, empty):
+    rng = random.Random(13)
+    a, b, c, d, e = (prose(rng, 300) for _ in range(5))
+    table = docs(spark, [(3, a), (3, a), (2, a + " end"), (7, b), (7, b), (None, a), (None, c), (None, c), (None, c), (5, d), (6, e), (6, c[::-1])])
+    out = corpus_pipeline.simhash_dedup(spark, table, "")
+    want = [("2", a + " end"), ("5", d), ("6", c[::-1]), ("6", e), ("7", b), ("None", c)]
+    assert sorted((str(r["doc_id"]), r["text"]) for r in out.collect()) == sorted(want) and out.columns == table.columns
+    assert corpus_pipeline.simhash_dedup(spark, empty, "").count() == 0
