@@ -87,11 +87,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, trees: int
     rows = rows.withColumn("key", F.when(F.coalesce(good, F.lit(False)), F.xxhash64("label", "v")))
     distinct = cut(rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("label").alias("label"), F.first("v").alias("v")))
     total = distinct.count()
-    sizes = [r[0] for r in distinct.select(F.size("v")).distinct().limit(64).collect()]
+    commonest = distinct.groupBy(F.size("v").alias("width")).count().orderBy(F.desc("count"), F.desc("width")).first()
+    width = commonest["width"] if commonest else 1
 
-    sample = distinct.select("v").orderBy(F.xxhash64("key")).limit(SAMPLE).toPandas()["v"]
-    width = max(sizes, default=1)
-    sample = np.stack([x for x in sample if len(x) == width]) if sum(len(x) == width for x in sample) else np.zeros((0, width))
+    sample = distinct.where(F.size("v") == width).select("v").orderBy(F.xxhash64("key")).limit(SAMPLE).toPandas()["v"]
+    sample = np.stack(sample.to_list()) if len(sample) else np.zeros((0, width))
     sample = sample / np.linalg.norm(sample, axis=1, keepdims=True) if len(sample) else sample
     depth = max(0, int(np.ceil(np.log2(max(1, total / LEAF)))))
     rng = np.random.default_rng(seed)

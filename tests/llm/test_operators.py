@@ -259,3 +259,20 @@ def test_one_row_of_each_group_goes_on_in_the_pipeline(spark, empty):
     want = [("2", a + " end"), ("5", d), ("6", c[::-1]), ("6", e), ("7", b), ("None", c)]
     assert sorted((str(r["doc_id"]), r["text"]) for r in out.collect()) == sorted(want) and out.columns == table.columns
     assert corpus_pipeline.simhash_dedup(spark, empty, "").count() == 0
+
+
+def test_trees_split_whatever_the_longest_vector(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    base = rng.standard_normal((80, 16))
+    vecs = np.concatenate([base, base + 0.01 * rng.standard_normal((80, 16))])
+    rows = [(i, [float(np.float32(x)) for x in v], 0) for i, v in enumerate(vecs)] + [(900, [1.0] * 17, 0)]
+    trees, fit = [], embedding_forest.fit_tree
+    monkeypatch.setattr(embedding_forest, "LEAF", 20)
+    monkeypatch.setattr(embedding_forest, "fit_tree", lambda *how: trees.append(fit(*how)) or trees[-1])
+    got = {r["vec_id"]: r for r in embedding_forest.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    u = np.array([r[1] for r in rows[:-1]])
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    near = u @ u.T >= 0.98
+    np.fill_diagonal(near, False)
+    assert len(trees) == embedding_forest.TREES and all(len(t) >= 3 for t in trees)
+    assert [got[i]["n_links"] for i in range(len(vecs))] == near.sum(1).tolist() and got[900]["n_links"] == 0
