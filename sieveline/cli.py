@@ -29,10 +29,12 @@ def main(args: list[str] | None = None) -> int:
         clips = manifest.clips(dealt)
         vectors = pooling.pool(spark.read.parquet(a.vectors).join(clips.select("item_id"), "item_id", "left_semi"), c.pooling.mode)
         d = delivery.score(vectors, c.clustering.similarity_threshold, c.search.top_k)
-        said = report.payload(d, clips, manifest.rejected(dealt), c.clustering.flag_cluster_size, c.scoring.max_points)
+        said = report.payload(d, clips, manifest.rejected(dealt), c.clustering.flag_cluster_size, c.scoring.max_points, c.scoring.penalty_exponent)
     except Exception as e:  # noqa: BLE001  whatever is wrong with the input
         print(f"error: {str(e).splitlines()[0] if str(e) else type(e).__name__}", file=sys.stderr)
         return 2
+    for note in c.notes():
+        print(f"note: {note}", file=sys.stderr)
     report.write(said, a.output or c.output_dir)
     print(f"score {said['score']} of {said['max_points']}, {said['totals']['clips']} clips")
     return 0 if said["totals"]["clips"] else 1

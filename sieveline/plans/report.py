@@ -17,8 +17,8 @@ from sieveline.plans.delivery import Delivery
 SHOWN, SHOWN_FLAGS = 25, 50
 
 
-def payload(d: Delivery, manifest: DataFrame, rejected: DataFrame | None = None, flag_size: int = 3, max_points: float = 15.0) -> dict:
-    s = scoring.summary(d.scores, d.assigned, max_points).first()
+def payload(d: Delivery, manifest: DataFrame, rejected: DataFrame | None = None, flag_size: int = 3, max_points: float = 15.0, exponent: float = 1.5) -> dict:
+    s = scoring.summary(d.scores, d.assigned, max_points, exponent).first()
     worst = lambda who: [
         {"key": r["key"], "clips": r["clips"], "clustered_clips": r["clustered_clips"], "mean_novelty": round(r["mean_novelty"], 4), "redundancy_rate": round(r["redundancy_rate"], 4), "share": round(r["share"], 4)}
         for r in scoring.redundancy_by(d.scores, manifest, who).orderBy(F.desc("clustered_clips"), F.desc("redundancy_rate"), "key").collect()

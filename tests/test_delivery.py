@@ -125,3 +125,12 @@ def test_config(tmp_path):
     assert made.frames.duration_buckets[0].count == 2 and made.notes() == ["review: not enabled"]
     (tmp_path / ".env").write_text("export A='b c'\n# x=y\nB=1#2\n")
     assert config.read_env(str(tmp_path / ".env")) == {"A": "b c", "B": "1#2"}
+
+
+def test_settings_reach_the_report_or_are_noted(spark, clips):
+    d = delivery.score(clips, 0.91)
+    people = clips.select("item_id", F.lit("w").alias("worker_id"), F.lit("s").alias("session_id"))
+    low, high = (report.payload(d, people, exponent=e)["cluster_penalty"] for e in (1.0, 2.0))
+    assert low == pytest.approx(3 / 5) and high == pytest.approx(9 / 5)
+    made = config.Config(search=config.Search(index_type="ivf", nlist=7), review=config.Review(enabled=True))
+    assert [n.split(":")[0] for n in made.notes()] == ["search.index_type ivf", "search.nlist and nprobe", "review"]
