@@ -1,39 +1,47 @@
 """Byte-level BPE by a rank queue on a hierarchical bitmap.
 
-The texts' distinct pre-tokens are laid behind one another in one linked list with breaks
-between them. Every place whose pair has a merge is put into the bucket of that merge's
-rank. A bitmap of three levels, 64 bits a word, tells by find-first-set which bucket is
-the next; a bucket's places are merged from left to right, and a place whose pair has
-changed since it was put there is stale and skipped. A merge costs the same however long
-its pre-token is, so one pre-token of a million bytes is no slower, byte for byte, than
-short ones.
-
-Pre-tokens are looked up before they are merged, and their ids are kept for the texts that
-follow, up to a bound. All of it is local to a task: nothing is shuffled.
+A slice of texts is cut at spaces that no match of the pattern reaches over, and Arrow
+finds the distinct pieces; their distinct pre-tokens that aren't known yet are laid behind
+one another in one linked list with breaks between them. Every place whose pair has a
+merge is put into the bucket of that merge's rank. A bitmap of three levels, 64 bits a
+word, tells by find-first-set which bucket is the next; a bucket's places are merged from
+left to right, and a place whose pair has changed since it was put there is stale and
+skipped. A large bucket is merged at once by array operations, a small one place by place.
+A merge costs the same however long its pre-token is, so one pre-token of a million bytes
+is no slower, byte for byte, than short ones.
+
+The ids of the texts are then gathered from those of the pieces, and the bytes from those
+of the ids. Short pre-tokens are kept for later slices, up to a bound in bytes. All of it is
+local to a task: nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from sieveline.llm.common import only, pieces_of
 
-#: Pieces that a worker keeps the ids of, in two halves: the younger, when full, becomes the older, and the older goes.
-KEPT = 300_000
+#: Bytes that the pre-tokens a worker keeps may take up, with what Python needs for each beside its text.
+KEPT_BYTES, EACH = 48 << 20, 160
 #: The id of a break between pre-tokens; no vocabulary has as many.
 BREAK = 0xFFFFFF
-#: Where white space stands beside a space, a text can't be cut by spaces alone.
-SPACE_RUN = re.compile(r" (?:\s|(?<=\s ))")
-CUT = re.compile(r"(?<=\S)(?= \S)")
+#: Places of a bucket from which on array operations take less time.
+MANY = 48
+#: Bytes of the texts that are encoded at a time; a longer text is a slice of its own.
+SLICE = 4 << 20
+#: Fixed value: the pattern whose matches never reach over a single space between two characters that aren't white space.
+SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: ASCII bytes that may be white space.
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
 
 
 class RankQueue:
@@ -43,21 +51,26 @@ class RankQueue:
         self.buckets: dict[int, list[int]] = {}
         self.levels = [[0] * ((ranks >> 6 * (k + 1)) + 1) for k in range(3)]
 
-    def push(self, rank: int, place: int) -> None:
+    def put(self, rank: int, places: list[int]) -> None:
         held = self.buckets.get(rank)
         if held is not None:
-            held.append(place)
+            held += places
             return
-        self.buckets[rank] = [place]
+        self.buckets[rank] = places
         for level in self.levels:
             word = rank >> 6
             level[word] |= 1 << (rank & 63)
             rank = word
 
-    def fill(self, rank: int, places: list[int]) -> None:
-        """The first places of a bucket that has none."""
-        self.push(rank, -1)
-        self.buckets[rank] = places
+    def put_all(self, ranks: np.ndarray, places: np.ndarray) -> None:
+        if not len(ranks):
+            return
+        order = np.argsort(ranks, kind="stable")
+        ranks, listed = ranks[order], places[order].tolist()
+        begin = np.flatnonzero(np.append(True, ranks[1:] != ranks[:-1]))
+        ends = [*begin[1:].tolist(), len(listed)]
+        for r, i, j in zip(ranks[begin].tolist(), begin.tolist(), ends):
+            self.put(r, listed[i:j])
 
     def pop(self) -> tuple[int, list[int]] | None:
         top = self.levels[2]
@@ -78,158 +91,268 @@ class RankQueue:
         return rank, places
 
 
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` that begin at ``starts``, one behind the other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.repeat(starts - (ends - lengths), lengths)
+    at += np.arange(total)
+    return flat[at]
+
+
 class Vocabulary:
     """The merges and texts of a ranks file, and the ids of what has been encoded."""
 
-    def __init__(self, path: str, pattern: str, kept: int = KEPT):
+    def __init__(self, path: str, pattern: str, kept_bytes: int = KEPT_BYTES):
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        self.ranks, self.kept = ranks, kept
-        self.pattern = regex.compile(pattern)
+        self.ranks, self.kept_bytes = ranks, kept_bytes
+        self.pattern, self.spaced = regex.compile(pattern), pattern == SPACED
         self.size = max(ranks.values()) + 1
-        self.texts: list[bytes] = [b""] * self.size
+        texts = [b""] * self.size
         for text, rank in ranks.items():
-            self.texts[rank] = text
-        self.byte = np.array([ranks[bytes([i])] for i in range(256)])
-        self.merges: dict[int, int] = {}
+            texts[rank] = text
+        self.bytes = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        self.lengths = np.array([len(t) for t in texts])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        byte = np.array([ranks[bytes([i])] for i in range(256)])
+        merges: dict[int, int] = {}
         for text, rank in ranks.items():
             for i in range(1, len(text)):
                 a, b = ranks.get(text[:i]), ranks.get(text[i:])
                 if a is not None and b is not None:
-                    self.merges[a << 24 | b] = rank
-        self.keys = np.array(sorted(self.merges))
-        self.key_ranks = np.array([self.merges[k] for k in self.keys.tolist()])
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def merged(self, tokens: list[bytes]) -> list[bytes]:
-        """The ids of each pre-token by merging, as little-endian unsigned 32-bit integers."""
+                    merges[a << 24 | b] = rank
+        self.merges, self.byte = merges, byte
+        self.keys = np.array(sorted(merges))
+        self.key_ranks = np.array([merges[k] for k in self.keys.tolist()])
+        two = np.arange(65536)
+        self.byte_pairs = self._ranks_of(byte[two >> 8] << 24 | byte[two & 255]).astype(np.int32)
+        # Ids that may merge to a lower rank than their own: such a merge comes before the rest of their bucket.
+        parts = np.concatenate([self.keys >> 24, self.keys & BREAK])
+        self.falling = set(parts[np.tile(self.key_ranks, 2) < parts].tolist())
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.held, self.ids, self.used = 0, np.zeros(1 << 16, dtype=np.uint32), 0
+        self.begin, self.count = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
+
+    def _ranks_of(self, keys: np.ndarray) -> np.ndarray:
+        """The rank of each pair's merge, or -1."""
+        slot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[slot] == keys, self.key_ranks[slot], -1)
+
+    def merged(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pre-tokens by merging, one behind the other, and how many each has."""
+        if not tokens:
+            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
         # A break stands first, and after each pre-token; it pairs with nothing.
         raw = np.frombuffer(b"".join(tokens), dtype=np.uint8)
-        lengths = np.array([len(t) for t in tokens])
-        starts = np.cumsum(lengths + 1) - lengths
-        at = np.arange(len(raw)) + np.repeat(np.arange(1, len(tokens) + 1), lengths)
-        first = np.full(len(raw) + len(tokens) + 1, BREAK, dtype=np.int64)
-        first[at] = self.byte[raw]
-        keys = first[:-1] << 24 | first[1:]
-        slot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        pair = np.append(np.where(self.keys[slot] == keys, self.key_ranks[slot], -1), -1)
+        lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        ends = np.cumsum(lengths + 1)
+        size = len(raw) + len(tokens) + 1
+        inside = np.ones(size, dtype=bool)
+        inside[0] = False
+        inside[ends] = False
+        at = np.flatnonzero(inside)
+        ids = np.full(size + 1, BREAK, dtype=np.int32)
+        ids[at] = self.byte[raw]
+        ranked = np.full(size + 1, -1, dtype=np.int32)
+        first = np.flatnonzero(np.diff(at) == 1)
+        ranked[at[first]] = self.byte_pairs[raw[first].astype(np.int32) << 8 | raw[first + 1]]
+        after, before = np.arange(1, size + 2, dtype=np.int32), np.arange(-1, size, dtype=np.int32)
         queue = RankQueue(self.size)
-        held = np.flatnonzero(pair >= 0)
-        held = held[np.argsort(pair[held], kind="stable")]
-        ranks, begin = np.unique(pair[held], return_index=True)
-        listed = held.tolist()
-        for r, i, j in zip(ranks.tolist(), begin.tolist(), [*begin[1:].tolist(), len(listed)]):
-            queue.fill(r, listed[i:j])
-        ids, ranked = first.tolist(), pair.tolist()
-        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        find, buckets, push = self.merges.get, queue.buckets, queue.push
+        held = np.flatnonzero(ranked >= 0)
+        queue.put_all(ranked[held], held)
+        every = (ids, ranked, after, before)
+        views = tuple(map(memoryview, every))
         while (found := queue.pop()) is not None:
             rank, places = found
-            places.sort()
-            for i in places:
-                if ranked[i] != rank:  # stale
-                    continue
-                j = after[i]
-                k = after[j]
-                h = before[i]
-                ids[i] = rank
-                ranked[j] = -2
-                after[i] = k
-                before[k] = i
-                ranked[i] = r = find(rank << 24 | ids[k], -1)
-                if r >= 0:
-                    if r in buckets:
-                        buckets[r].append(i)
-                    else:
-                        push(r, i)
-                ranked[h] = r = find(ids[h] << 24 | rank, -1)
-                if r >= 0:
-                    if r in buckets:
-                        buckets[r].append(h)
-                    else:
-                        push(r, h)
-        kept = np.array(ranked) != -2
-        kept[starts + lengths] = False
-        kept[0] = False
-        out = np.array(ids, dtype="<u4")[kept].tobytes()
-        ends = np.cumsum(kept)[starts + lengths - 1] * 4 if len(tokens) else starts
-        ends = ends.tolist()
-        return [out[i:j] for i, j in zip([0, *ends], ends)]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Puts the ids of these pieces, as little-endian bytes, into ``pieces``."""
-        if len(self.pieces) > self.kept // 2:
-            self.older, self.pieces = self.pieces, {}
-        if len(self.words) > self.kept:
-            self.words.clear()
-        found = {p: got for p in pieces if (got := self.older.get(p)) is not None}
-        self.pieces.update(found)
-        pieces = [p for p in pieces if p not in found]
-        cut = list(map(self.pattern.findall, pieces))
-        new = {w for own in cut for w in own if w not in self.words}
-        todo = []
-        for w in new:
-            b = w.encode("utf-8", "replace")
-            r = self.ranks.get(b)
-            if r is not None:
-                self.words[w] = r.to_bytes(4, "little")
+            if len(places) >= MANY and rank not in self.falling:
+                self._merge_many(queue, rank, places, *every)
             else:
-                todo.append((w, b))
-        for begin in range(0, len(todo), 20_000):
-            part = todo[begin : begin + 20_000]
-            for (w, _), own in zip(part, self.merged([b for _, b in part])):
-                self.words[w] = own
-        words = self.words
-        self.pieces.update((p, b"".join([words[w] for w in own])) for p, own in zip(pieces, cut))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        gc.disable()  # nothing here refers to itself, and looking for that in millions of small lists is slow
-        try:
-            return self._encode(texts)
-        finally:
-            gc.enable()
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [cut_safely(t) for t in texts]
-        found = [list(map(self.pieces.get, own)) for own in split]
-        lacking = [i for i, own in enumerate(found) if None in own]
-        if lacking:
-            self._learn({p for i in lacking for p, got in zip(split[i], found[i]) if got is None})
-            new, before = self.pieces.get, self.older.get  # a piece found above may be among the older by now
-            for i in lacking:
-                found[i] = [got or new(p) or before(p) or b"" for p, got in zip(split[i], found[i])]
-        return [b"".join(own) for own in found]
-
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join([self.texts[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
-
-
-def cut_safely(text: str) -> list[str]:
-    """The text in pieces, each before a single space between two characters that aren't white space.
-
-    No match of the pattern reaches over such a place, so the pieces encode on their own.
+                self._merge_few(queue, rank, places, *views)
+        kept = inside & (ranked[:size] != -2)
+        return ids[:size][kept].astype(np.uint32), np.add.reduceat(kept, ends - lengths, dtype=np.int64)
+
+    def _merge_many(self, queue: RankQueue, rank: int, places: list[int], ids: np.ndarray, ranked: np.ndarray, after: np.ndarray, before: np.ndarray) -> None:
+        i = np.array(places, dtype=np.int32)
+        i.sort()
+        i = i[ranked[i] == rank]
+        if not len(i):
+            return
+        follows = np.append(False, (after[i[:-1]] == i[1:]) | (i[:-1] == i[1:]))
+        if follows.any():
+            # Of places that overlap in a row, and of a place that is listed twice, the first is merged.
+            i = i[np.append(True, i[1:] != i[:-1])]
+            follows = np.append(False, after[i[:-1]] == i[1:])
+            row = np.maximum.accumulate(np.where(follows, 0, np.arange(len(i))))
+            i = i[(np.arange(len(i)) - row) % 2 == 0]
+        j = after[i]
+        k = after[j]
+        ids[i] = rank
+        ranked[j] = -2
+        after[i] = k
+        before[k] = i
+        h = before[i]
+        right = self._ranks_of(rank << 24 | ids[k].astype(np.int64))
+        left = self._ranks_of(ids[h].astype(np.int64) << 24 | rank)
+        ranked[i] = right
+        ranked[h] = left  # where the place before was merged too, both say the same
+        r, p = np.concatenate([right, left]), np.concatenate([i, h])
+        new = r >= 0
+        queue.put_all(r[new], p[new])
+
+    def _merge_few(self, queue: RankQueue, rank: int, places: list[int], ids, ranked, after, before) -> None:  # noqa: ANN001
+        find, buckets, put = self.merges.get, queue.buckets, queue.put
+        places.sort()
+        for n, i in enumerate(places):
+            if ranked[i] != rank:  # stale
+                continue
+            j = after[i]
+            k = after[j]
+            h = before[i]
+            ids[i] = rank
+            ranked[j] = -2
+            after[i] = k
+            before[k] = i
+            ranked[i] = right = find(rank << 24 | ids[k], -1)
+            if right >= 0:
+                if right in buckets:
+                    buckets[right].append(i)
+                else:
+                    put(right, [i])
+            ranked[h] = left = find(ids[h] << 24 | rank, -1)
+            if left >= 0:
+                if left in buckets:
+                    buckets[left].append(h)
+                else:
+                    put(left, [h])
+            if 0 <= right < rank or 0 <= left < rank:  # that merge comes before the rest
+                if n + 1 < len(places):
+                    put(rank, places[n + 1 :])
+                return
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Keeps the ids of these words, which are distinct and new."""
+        whole = list(map(self.ranks.get, words))  # a pre-token of the vocabulary is one id, whatever its merges
+        ids, counts = self.merged([w for w, r in zip(words, whole) if r is None])
+        one = np.array([r is not None for r in whole], dtype=bool)
+        count = np.ones(len(words), dtype=np.int64)
+        count[~one] = counts
+        begin = self.used + np.cumsum(count) - count
+        size, first, self.used = len(self.known), self.used, self.used + int(count.sum())
+        if self.used > len(self.ids):
+            self.ids = np.concatenate([self.ids[:first], np.zeros(self.used, dtype=np.uint32)])
+        if size + len(words) > len(self.begin):
+            more = np.zeros(size + len(words), dtype=np.int64)
+            self.begin, self.count = np.concatenate([self.begin[:size], more]), np.concatenate([self.count[:size], more])
+        part = self.ids[first : self.used]
+        single = np.zeros(len(part), dtype=bool)
+        single[begin[one] - first] = True
+        part[single] = [r for r in whole if r is not None]
+        part[~single] = ids
+        self.begin[size : size + len(words)], self.count[size : size + len(words)] = begin, count
+        self.known.update(zip(words, range(size, size + len(words))))
+        self.held += sum(map(len, words)) + EACH * len(words) + 4 * len(part)
+
+    def _slots(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of distinct words among those kept; new ones are learnt."""
+        if self.held > self.kept_bytes:
+            self._forget()
+        new = [w for w in words if w not in self.known]
+        if new:
+            self._learn(new)
+        return np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def _words(self, pieces: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The pre-tokens of all pieces, and where each piece's begin and how many it has."""
+        plain = np.array([self.spaced and len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace() for p in pieces], dtype=bool)
+        # Pieces that begin with a space and end without one match alike behind one another.
+        together = [pieces[i] for i in np.flatnonzero(plain).tolist()]
+        words = self.pattern.findall("".join(together))
+        ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
+        upto = np.searchsorted(ends, np.cumsum([len(p) for p in together])) + 1
+        count = np.zeros(len(pieces), dtype=np.int64)
+        count[plain] = np.diff(np.append(0, upto))
+        begin = np.zeros(len(pieces), dtype=np.int64)
+        begin[plain] = upto - count[plain]
+        for i in np.flatnonzero(~plain).tolist():
+            own = self.pattern.findall(pieces[i])
+            begin[i], count[i] = len(words), len(own)
+            words += own
+        return words, begin, count
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one behind the other, and the place where each text's begin, with the end of the last."""
+        pieces, of = cut_safely(texts, self.spaced)
+        if not len(pieces):
+            return np.zeros(0, dtype=np.uint32), np.zeros(len(texts) + 1, dtype=np.int64)
+        coded = pieces.dictionary_encode()
+        words, first, n_words = self._words(coded.dictionary.to_pylist())
+        named = pa.array(words, pa.string()).dictionary_encode()
+        slots = self._slots([w.encode() for w in named.dictionary.to_pylist()])[named.indices.to_numpy()]
+        count = self.count[slots]
+        ids = gathered(self.ids, self.begin[slots], count)
+        upto = np.append(0, np.cumsum(count))
+        begin, count = upto[first], upto[first + n_words] - upto[first]
+        index = coded.indices.to_numpy()
+        count = count[index]
+        ends = np.append(0, np.cumsum(np.bincount(of, count, len(texts)).astype(np.int64)))
+        return gathered(ids, begin[index], count), ends
+
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of the ids."""
+        return gathered(self.bytes, self.starts[ids], self.lengths[ids])
+
+
+def cut_safely(texts: pa.Array, spaced: bool = True) -> tuple[pa.Array, np.ndarray]:
+    """The texts' pieces, and the number of each one's text. A null or empty text has none.
+
+    A piece ends before a single space between two characters that aren't white space: no
+    match of the pattern reaches over such a place, so the pieces encode on their own.
+    Without ``spaced`` each text is one piece.
     """
-    if SPACE_RUN.search(text):
-        return CUT.split(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + r for r in rest]] if first else [" " + r for r in rest]
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    at = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    starts = at[:-1][np.diff(at) > 0]
+    if spaced and len(data) > 2:
+        p = np.flatnonzero(data[1:-1] == 32) + 1
+        p = p[~SPACE[data[p - 1]] & ~SPACE[data[p + 1]]]
+        wide = (data[p - 1] >= 0x80) | (data[p + 1] >= 0x80)
+        q = p[wide]
+        one, two, three = data[q - 1], data[q - 2], data[np.maximum(q, 3) - 3]
+        four, five = data[q + 1], data[np.minimum(q + 2, len(data) - 1)]
+        unsafe = (two == 0xC2) & ((one == 0x85) | (one == 0xA0)) | _wide_space(three, two) | (four == 0xC2) & ((five == 0x85) | (five == 0xA0)) | _wide_space(four, five)
+        begins = np.zeros(len(data), dtype=bool)
+        begins[starts] = True
+        begins[p[~wide]] = True
+        begins[q[~unsafe]] = True
+        starts = np.flatnonzero(begins)
+    ends = np.append(starts, np.int32(len(data))).astype(np.int32)
+    pieces = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    return pieces, np.searchsorted(at, starts, side="right") - 1
+
+
+def _wide_space(lead: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Whether a character of three bytes may be white space, by its first two."""
+    return (lead == 0xE1) & (following == 0x9A) | (lead == 0xE2) & ((following == 0x80) | (following == 0x81)) | (lead == 0xE3) & (following == 0x80)
 
 
 _LOADED: dict[tuple, Vocabulary] = {}
 
 
-def vocabulary(path: str, pattern: str, kept: int = KEPT) -> Vocabulary:
+def vocabulary(path: str, pattern: str, kept_bytes: int = KEPT_BYTES) -> Vocabulary:
     """The vocabulary of this process."""
-    key = (path, pattern, kept)
+    key = (path, pattern, kept_bytes)
     if key not in _LOADED:
-        _LOADED[key] = Vocabulary(path, pattern, kept)
+        _LOADED[key] = Vocabulary(path, pattern, kept_bytes)
     return _LOADED[key]
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 2 << 20) -> DataFrame:
+def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE) -> DataFrame:
     """``(doc_id, ids, decoded)``: the token ids of every whole text and the bytes that they decode to.
 
     A null text counts as empty: no ids, no bytes. Repeated rows stay repeated; an empty
@@ -240,28 +363,32 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
         for part in pieces_of(batches, 1, slice_bytes):
-            raw = vocab.encode([t or "" for t in part.column(1).to_pylist()])
-            ids = pa.array([np.frombuffer(r, dtype="<u4").astype(np.int32) for r in raw], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array([vocab.decode(r) for r in raw], pa.binary())], names=["doc_id", "ids", "decoded"])
+            ids, ends = vocab.encode(part.column(1))
+            held = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.view(np.int32)))
+            upto = np.append(0, np.cumsum(vocab.lengths[ids]))[ends]
+            decoded = pa.Array.from_buffers(pa.binary(), len(held), [None, pa.py_buffer(upto.astype(np.int32)), pa.py_buffer(vocab.decode(ids))])
+            yield pa.RecordBatch.from_arrays([part.column(0), held, decoded], names=["doc_id", "ids", "decoded"])
 
     return only(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
 
 
-def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 2 << 20, kept: int = KEPT) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: :func:`encoded` with digests in place of ids and bytes, made where they are."""
+def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE, kept_bytes: int = KEPT_BYTES) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: :func:`encoded` with digests in place of ids and bytes, made where they are.
+
+    A null text counts as empty: no tokens, and the digests of no bytes. Repeated rows stay
+    repeated; an empty table gives an empty result.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path, pattern, kept)
+        vocab = vocabulary(path, pattern, kept_bytes)
+        digest = lambda raw, ends: pa.array([hashlib.sha256(raw[i:j]).hexdigest() for i, j in zip(ends.tolist(), ends[1:].tolist())])
         for part in pieces_of(batches, 1, slice_bytes):
-            raw = vocab.encode([t or "" for t in part.column(1).to_pylist()])
+            ids, ends = vocab.encode(part.column(1))
+            upto = np.append(0, np.cumsum(vocab.lengths[ids]))[ends]
+            raw, back = memoryview(ids.astype("<u4")).cast("B") if len(ids) else b"", vocab.decode(ids)
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    pa.array([len(r) // 4 for r in raw], pa.int64()),
-                    pa.array([hashlib.sha256(r).hexdigest() for r in raw]),
-                    pa.array([hashlib.sha256(vocab.decode(r)).hexdigest() for r in raw]),
-                ],
+                [part.column(0), pa.array(np.diff(ends)), digest(raw, ends * 4), digest(memoryview(back) if len(back) else b"", upto)],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
@@ -275,7 +402,7 @@ def decode_ids(rows: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
         for batch in batches:
-            out = [vocab.decode(np.array(x or [], dtype="<u4").tobytes()) for x in batch.column(1).to_pylist()]
+            out = [vocab.decode(np.array(x or [], dtype=np.int64)).tobytes() for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "decoded"])
 
     return only(rows, id_col, ids_col).mapInArrow(run, f"doc_id {kind}, decoded binary")
