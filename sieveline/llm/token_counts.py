@@ -1,10 +1,9 @@
 """Token counts of whole texts with a public tokenizer's own library.
 
 Arrow functions encode in batches and return lengths only. Batches are balanced by
-bytes, and with a byte-level tokenizer texts are split before single spaces between two
+bytes. With a byte-level tokenizer a long text is split before single spaces between two
 characters that aren't white space: no token reaches over such a place, so the lengths of
-the pieces add up. A piece that a worker has seen is not encoded again; how many are kept
-is bounded.
+the parts add up. Nothing is kept from one batch to the next but what the library keeps.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ import json
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -20,16 +20,15 @@ from pyspark.sql import DataFrame
 from sieveline.llm.bpe import cut_safely
 from sieveline.llm.common import only, pieces_of
 
-KEPT = 800_000
-BATCH = 4096
+#: Bytes of a batch, and of a part of a long text.
+BATCH, LONG = 1 << 20, 1 << 17
 
 
 class Counter:
     """Lengths of texts under one tokenizer file, ``.json`` or ``.model``."""
 
-    def __init__(self, path: str, kept: int = KEPT):
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.kept, self.lengths = kept, {}
         self.encode, self.splits = self._load(path)
 
     @staticmethod
@@ -51,18 +50,26 @@ class Counter:
         safe = not said.get("normalizer") and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and plain
         return lambda texts: [len(x) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], bool(safe)
 
-    def count(self, texts: list[str]) -> list[int]:
-        if not self.splits:
-            return self.encode(texts)
-        split = [cut_safely(t) for t in texts]
-        known = self.lengths
-        if len(known) > self.kept:
-            known.clear()
-        new = list({p for own in split for p in own if p not in known})
-        for i in range(0, len(new), BATCH):
-            part = new[i : i + BATCH]
-            known.update(zip(part, self.encode(part)))
-        return [sum(map(known.__getitem__, own)) for own in split]
+    def count(self, texts: pa.Array, long: int = LONG) -> np.ndarray:
+        """The number of tokens of each text; of a null one 0."""
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        parts: list[str] = []
+        of: list[int] = []
+        for i, (text, size) in enumerate(zip(texts.to_pylist(), sizes.tolist())):
+            own = _parts(text, long) if self.splits and size > long else [text] if text else []
+            parts += own
+            of += [i] * len(own)
+        return np.bincount(np.array(of, dtype=np.int64), np.array(self.encode(parts), dtype=np.float64), len(texts)).astype(np.int64) if parts else np.zeros(len(texts), dtype=np.int64)
+
+
+def _parts(text: str, long: int) -> list[str]:
+    """The text in parts of about ``long`` bytes, cut at safe places alone; where there is none a part is longer."""
+    pieces, _ = cut_safely(pa.array([text]))
+    ends = np.cumsum(pc.binary_length(pieces).to_numpy())
+    last = np.flatnonzero(np.append(ends[1:] // long != ends[:-1] // long, True))
+    raw = text.encode()
+    cuts = [0, *ends[last].tolist()]
+    return [raw[i:j].decode() for i, j in zip(cuts, cuts[1:])]
 
 
 _LOADED: dict[str, Counter] = {}
@@ -74,7 +81,7 @@ def counter(path: str) -> Counter:
     return _LOADED[path]
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 4 << 20) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = BATCH) -> DataFrame:
     """``(doc_id, n_bytes, n_tokens, over_limit)`` of every row.
 
     A null text counts as empty: no bytes, no tokens. Repeated rows stay repeated; an empty
@@ -86,7 +93,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
         own = counter(path)
         for part in pieces_of(batches, 1, slice_bytes):
             n_bytes = pc.fill_null(pc.binary_length(part.column(1)), 0).cast(pa.int64())
-            n_tokens = pa.array(own.count([t or "" for t in part.column(1).to_pylist()]), pa.int64())
+            n_tokens = pa.array(own.count(part.column(1)))
             yield pa.RecordBatch.from_arrays([part.column(0), n_bytes, n_tokens, pc.greater(n_tokens, limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return only(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
