@@ -25,6 +25,14 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{n}`") for n in names))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True where crc32 of the id as text leaves 0 modulo 5; a null id counts as held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))

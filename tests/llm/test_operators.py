@@ -4,9 +4,11 @@ import base64
 import hashlib
 import random
 import re
+import tempfile
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -144,27 +146,68 @@ def test_token_counts(spark, awkward, empty):
     want = sorted((t["doc_id"] or -1, len((t["text"] or "").encode()), len(own.encode(t["text"] or "", add_special_tokens=False).ids)) for t in awkward.collect())
     assert sorted((r["doc_id"] or -1, r["n_bytes"], r["n_tokens"]) for r in got) == want
     assert token_counts.token_counts(empty, path).count() == 0
+    rng = random.Random(15)
+    texts = [prose(rng, 4000), "x" * 9000, prose(rng, 900) + "é\u3000 a\u00a0 b \n c “d” e" * 50 + "<|endoftext|> a <|endoftext|>", None, "漢字" * 3000]
+    counted = token_counts.Counter(path).count(pa.array(texts), long=500)
+    assert counted.tolist() == [len(own.encode(t or "", add_special_tokens=False).ids) for t in texts]
     assert token_counts.token_counts(awkward, public_tokenizers.path("piece_bpe_32k.model")).count() == 10
 
 
-def test_bpe_is_the_library_s(spark, awkward, empty):
+def test_bpe_is_the_library_s(spark, awkward, empty, monkeypatch):
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(6)
     texts = ["".join(rng.choice("ab  \n\t'stéñ1.! \x1c\x85漢😀") for _ in range(rng.randint(0, 40))) for _ in range(3000)]
-    vocab = bpe.Vocabulary(path, pattern, kept=200)  # begins anew again and again
+    texts += ["漢字" * 700, "ab" * 900, "a" * 333, " x" * 300, "".join(rng.choice("abcdefghij0123456789+/") for _ in range(5000)), ""]
+    vocab = bpe.Vocabulary(path, pattern, kept_bytes=20_000)  # begins anew again and again
+    held = []
     for i in range(0, len(texts), 100):
         part = texts[i : i + 100]
-        got = vocab.encode(part)
-        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [library.encode_ordinary(t) for t in part]
-        assert [vocab.decode(g).decode() for g in got] == part
+        ids, ends = vocab.encode(pa.array(part))
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [library.encode_ordinary(t) for t in part]
+        assert bytes(vocab.decode(ids)).decode() == "".join(part)
+        held.append(vocab.held)
+    assert max(held) <= 20_000 + 300 * sum(map(len, texts[-206:]))  # the bound, and one slice
+    for many in (1, 10**9):  # buckets by arrays alone, and place by place alone
+        monkeypatch.setattr(bpe, "MANY", many)
+        ids, ends = bpe.Vocabulary(path, pattern).encode(pa.array([*texts, None]))
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [library.encode_ordinary(t or "") for t in [*texts, None]]
     for r in bpe.digests(awkward, path, pattern).join(awkward.select("doc_id", "text").distinct(), "doc_id").collect():
         ids = library.encode_ordinary(r["text"] or "")
         assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
     assert bpe.digests(empty, path, pattern).count() == 0
+    for r in bpe.encoded(awkward, path, pattern).join(awkward.select("doc_id", "text").distinct(), "doc_id").collect():
+        assert r["ids"] == library.encode_ordinary(r["text"] or "") and bytes(r["decoded"]).decode() == (r["text"] or "")
+
+
+def test_bpe_of_ranks_that_fall():
+    """Merges whose result has a lower rank than their parts, against the lowest rank first, from the left."""
+    rng = random.Random(16)
+    for _ in range(30):
+        texts = {bytes([i]) for i in range(256)} | {bytes(rng.choice(b"abc") for _ in range(rng.randint(2, 4))) for _ in range(25)}
+        order = [bytes([i]) for i in range(256)] + rng.sample(sorted(t for t in texts if len(t) > 1), sum(len(t) > 1 for t in texts))
+        ranks = {t: i for i, t in enumerate(order)}
+
+        def plain(raw, ranks=ranks):
+            own = [raw[i : i + 1] for i in range(len(raw))]
+            if raw in ranks:
+                return [ranks[raw]]
+            while True:
+                found = min(((ranks[a + b], i) for i, (a, b) in enumerate(zip(own, own[1:])) if a + b in ranks), default=None)
+                if found is None:
+                    return [ranks[x] for x in own]
+                i = found[1]
+                own[i : i + 2] = [own[i] + own[i + 1]]
+
+        with tempfile.NamedTemporaryFile("wb", suffix=".tiktoken") as f:
+            f.writelines(base64.b64encode(t) + b" %d\n" % i for t, i in ranks.items())
+            f.flush()
+            words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 30))) for _ in range(80)]
+            ids, ends = bpe.Vocabulary(f.name, public_tokenizers.PATTERN).encode(pa.array(words))
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [plain(w.encode()) for w in words]
 
 
 @pytest.mark.parametrize("in_plan", [20_000, 0])
@@ -236,14 +279,67 @@ def test_leaks_that_the_text_s_edges_cut_off(spark, in_plan):
 
 def test_substring_dedup_within_one_document(spark):
     rng = random.Random(12)
-    twice = prose(rng, 60)
+    twice = prose(rng, 80)
     rows = [(1, f"{prose(rng, 40)} {twice} {prose(rng, 50)} {twice} {prose(rng, 40)} {twice}"), (2, prose(rng, 200))]
     table = docs(spark, rows)
-    got = substring_dedup.repeats(table.unionByName(table)).collect()
+    assert substring_dedup.repeats(table.unionByName(table)).count() == 0  # equal rows are one document
+    got = substring_dedup.repeats(table.unionByName(table), within=True).collect()
     assert [r["doc_id"] for r in got] == [1, 1] and all(r["n_spans"] == 2 for r in got)
+    left = {r["doc_id"]: r["text"] for r in substring_dedup.without_repeats(table, within=True).collect()}
+    middle = " ".join(twice.split()[20:60])
+    assert left[1].count(middle) == 1 and left[2] == rows[1][1]
+
+
+def test_substring_dedup_keeps_one_whole_copy(spark):
+    rng = random.Random(17)
+    p = prose(rng, 60).split()
+    parts = [p[a : a + n] for a in range(0, 30, 3) for n in (13, 20, 30, 30)]
+    rows = [(i, f"{prose(rng, 70)} {' '.join(p)} {prose(rng, 60)}") for i in range(2)] + [(10 + i, f"{prose(rng, 50)} {' '.join(x)} {prose(rng, 50)}") for i, x in enumerate(parts)]
+    left = {r["doc_id"]: r["text"] for r in substring_dedup.without_repeats(docs(spark, rows)).collect()}
+    assert sum(" ".join(p) in x for x in left.values()) == 1 and sum(" ".join(p[15:50]) in x for x in left.values()) == 1
+    assert all(len(rows[i][1].split()) - len(x.split()) in (0, *range(25, 61)) for i, x in ((j, left[j]) for j in range(2)))
+    assert all(left[i] == t for i, t in rows[2:] if len(parts[i - 10]) < 25)
+
+
+@pytest.mark.parametrize("heavy", [10_000, 3])
+def test_substring_dedup_against_all_shared_windows(spark, monkeypatch, heavy):
+    """What two documents share is listed; every window that repeats stays whole somewhere; nothing else is touched."""
+    monkeypatch.setattr(substring_dedup, "HEAVY", heavy)
+    rng = random.Random(18)
+    pool = [prose(rng, n) for n in (51, 60, 80, 120, 200)]
+    long = pool[4].split()
+    pool += [" ".join(long[:90]), " ".join(long[60:150]), " ".join(long[100:])]
+    rows = []
+    for i in range(70):
+        own = [prose(rng, rng.randint(30, 90))]
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            own += [rng.choice(pool), prose(rng, rng.randint(0, 60))]
+        rows.append((i, " ".join(own)))
+    holders = {}
+    for i, t in rows:
+        w = t.split()
+        for j in range(len(w) - 50):
+            holders.setdefault(tuple(w[j : j + 51]), set()).add(i)
+    sharing = {i for h in holders.values() if len(h) > 1 for i in h}
+    table = docs(spark, rows)
+    listed = {r["doc_id"]: r for r in substring_dedup.repeats(table).collect()}
+    short = {r[0] for r in rows} - sharing
+    assert sharing <= set(listed) and len(set(listed) & short) <= 1
+    assert all(s["size"] > 0 for r in listed.values() for s in r["spans"])
     left = {r["doc_id"]: r["text"] for r in substring_dedup.without_repeats(table).collect()}
-    middle = " ".join(twice.split()[15:45])
-    assert left[1].count(middle) == 1 and left[1].index(middle) == rows[0][1].index(middle) and left[2] == rows[1][1]
+    place = {}
+    for i, t in rows:
+        digest, begin, _, size, _ = substring_dedup._windows(t.encode(), substring_dedup.MIN_WORDS) or ((),) * 5
+        for d, b, s in zip(digest, begin, size):
+            place.setdefault(int(d), []).append((i, t.encode()[b : b + s].decode().strip()))
+    for own in place.values():
+        if len({i for i, _ in own}) > 1:
+            assert len({x for _, x in own}) == 1 and any(own[0][1] in left.get(i, "") for i, _ in own)
+    for i, t in rows:
+        gone = len(t.split()) - len(left.get(i, "").split())
+        assert gone == (listed[i]["removed_words"] if i in listed else 0) and (gone == 0 or gone >= substring_dedup.MIN_WORDS)
+    words_of = [w for t in left.values() for w in zip(*(t.split()[j:] for j in range(51)))]
+    assert len(words_of) - len(set(words_of)) < 0.1 * sum(len(h) - 1 for h in holders.values() if len(h) > 1)
 
 
 def test_capitals_have_one_definition_at_every_length():
