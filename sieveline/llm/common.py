@@ -10,6 +10,8 @@ import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sieveline.storage import cut
+
 #: Fixed values of the words' definition: ASCII white space, and A-Z against a-z.
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,6 +35,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Rows of a few numbers that may be broadcast, some 20 MB; with more they are joined by a shuffle.
+FEW = 500_000
+
+
+def checked(df: DataFrame, rows: int = FEW) -> DataFrame:
+    """``df``, worked out once, for the smaller side of a join: to be broadcast if it has ``rows`` rows at most."""
+    df = cut(df)
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True where crc32 of the id as text leaves 0 modulo 5; a null id counts as held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))

@@ -2,38 +2,58 @@
 
 A text's words are its runs of letters and digits, lower-cased; its shingles are five
 words (all of them, if an item has fewer). The windows of a text are as long as an item,
-and lie where a shingle of that item would fall on the same shingle of the text. A window
+and lie where a shingle of that item falls on the same shingle of the text. A window
 that would begin before the text or end after it, as where a copy is cut off by the text's
 edge, is moved back to that edge; if the text is shorter than the item, the whole text is
-the window. Every window gets the 64-bit SimHash of its words.
+the window. Every window gets the 64-bit SimHash of its words, each with the number of its
+occurrence.
 
-Windows and items meet in a multi-index of four 16-bit blocks. Two fingerprints that
-differ in ``radius`` bits or fewer differ in ``radius // 4`` or fewer in one block at
+Windows and items meet in a multi-index of eight 8-bit blocks. Two fingerprints that
+differ in ``radius`` bits or fewer differ in ``radius // 8`` or fewer in one block at
 least, so each item is entered under all values of each block within that many flips, and
-a window looks up its own four blocks: every pair within the radius is found. These pairs
-are verified by the exact similarity of their weighted shingles, a shingle's weight being
-the number of times it occurs: the sum of the smaller weights over the sum of the larger.
+a window looks up its own eight blocks: every pair within the radius is found. The radius
+follows from the similarity asked for, see :func:`radius_for`. The pairs are verified by
+the exact similarity of their weighted shingles, a shingle's weight being the number of
+times it occurs: the sum of the smaller weights over the sum of the larger.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 from itertools import combinations
+from math import acos, comb, pi
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import only
+from sieveline.llm.common import checked, fresh, only
 from sieveline.storage import cut
 
-SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 11
-BLOCKS, BLOCK_BITS = 4, 16
-#: Of a run of shared shingles every so manyth places a window, besides the first and the last; every one that the shortest item could lie between, if that is fewer.
-STEP = 8
+SHINGLE, SIMILARITY = 5, 0.8
+#: The share of pairs of just the similarity asked for that may differ in more bits than the radius.
+MISSED = 2e-5
+BLOCKS, BLOCK_BITS = 8, 8
 #: Up to so many distinct shingles of all items are looked up in the plan itself; more are joined.
 IN_PLAN = 20_000
 
 
+def radius_for(similarity: float, missed: float = MISSED) -> int:
+    """The bits that the fingerprints of a window and an item of ``similarity`` differ in, all but a share ``missed`` of such pairs.
+
+    Of two lists of shingles with that similarity, the share ``c = 2 s / (1 + s)`` is common;
+    shared shingles cover at least as large a share of the words, so ``c`` bounds the cosine
+    of the words from below. A bit of a SimHash then differs with probability
+    ``acos(c) / pi`` at most, and the number of such bits is binomial.
+    """
+    bits = BLOCKS * BLOCK_BITS
+    p = acos(min(1.0, 2 * similarity / (1 + similarity))) / pi
+    above, radius = 1.0, -1
+    while above > missed and radius < bits:
+        radius += 1
+        above = sum(comb(bits, k) * p**k * (1 - p) ** (bits - k) for k in range(radius + 1, bits + 1))
+    return radius
+
+
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
@@ -59,8 +79,9 @@ def simhash(hashes: Column) -> Column:
 
 
 def _tagged(hashes: Column, ordered: Column) -> Column:
-    """Distinct hashes for equal ones, by the number of the occurrence: a bag as a set. ``ordered``: a column of the sorted hashes."""
-    numbered = F.transform(ordered, lambda h, i: F.xxhash64(h, (i + 1 - F.array_position(ordered, h)).cast("long")))
+    """Distinct hashes for equal ones, by the number of the occurrence, the first as it is: a bag as a set. ``ordered``: a column of the sorted hashes."""
+    which = lambda h, i: i + 1 - F.array_position(ordered, h)
+    numbered = F.transform(ordered, lambda h, i: F.when(which(h, i) == 0, h).otherwise(F.xxhash64(h, which(h, i).cast("long"))))
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), hashes).otherwise(numbered)
 
 
@@ -82,18 +103,18 @@ def _items(benchmark: DataFrame, k: int, id_col: str, text_col: str) -> DataFram
     own = rows.withColumn("k", F.least("n", F.lit(k)))
     hashes = reduce(lambda rest, j: F.when(F.col("k") == j, _shingles(F.col("w"), F.col("n"), j)).otherwise(rest), range(1, k), _shingles(F.col("w"), F.col("n"), k))
     words = F.transform("w", lambda w: F.xxhash64(w))
-    known = cut(own.select("item_id", "n", "k", hashes.alias("hashes"), words.alias("words")).withColumn("ordered", F.sort_array("hashes")))
-    return known.select("item_id", "n", "k", "hashes", simhash(F.col("words")).alias("fp"), _tagged(F.col("hashes"), F.col("ordered")).alias("tags"))
+    known = cut(own.select("item_id", "n", "k", hashes.alias("hashes"), words.alias("words")).withColumn("ordered", F.sort_array("hashes")).withColumn("sorted", F.sort_array("words")))
+    return known.select("item_id", "n", "k", "hashes", simhash(_tagged(F.col("words"), F.col("sorted"))).alias("fp"), _tagged(F.col("hashes"), F.col("ordered")).alias("tags"))
 
 
-def _runs(hits: Column, step: int) -> Column:
-    """Of the places of shared shingles: each run's first and last, and every ``step``th between."""
-    near = lambda i, d: F.get(hits, i + d)
-    return F.filter(hits, lambda p, i: (i == 0) | (near(i, -1) != p - 1) | near(i, 1).isNull() | (near(i, 1) != p + 1) | (p % step == 0))
+def _ends_of_equal(hits: Column, hashes: Column) -> Column:
+    """The places of shared shingles, of a stretch of equal ones the first and the last: windows within such a stretch are equal."""
+    at = lambda p: F.get(hashes, p)
+    return F.filter(hits, lambda p: ~F.coalesce((at(p) == at(p - 1)) & (at(p) == at(p + 1)), F.lit(False)))
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS,
+    docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int | None = None,
     id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", in_plan: int = IN_PLAN,
 ) -> DataFrame:
     """``(doc_id, item_id, start, n_words, distance, similarity)``: each document and item with a window of at least ``similarity``.
@@ -101,11 +122,13 @@ def leaks(
     The most similar window is given, of equal ones the first; ``start`` counts words from
     0, and ``n_words`` are the window's: the item's, or the text's if it is shorter. Null, empty and wordless texts and items match nothing. An item of fewer words than
     a shingle is one shingle. Rows with equal ids give one row; a null id is an id of its
-    own. Empty tables give an empty result.
+    own. Equal items are items of their own. Empty tables give an empty result. ``radius``
+    is that of the similarity, if none is given.
     """
+    radius = radius_for(similarity) if radius is None else radius
     items = cut(_items(benchmark, shingle, item_id_col, item_text_col))
     offered = cut(items.select("k", "n", F.posexplode("hashes").alias("offset", "h")).select("k", "n", "offset", "h").distinct())
-    sizes = {r["k"]: r["least"] for r in items.groupBy("k").agg(F.min(F.col("n") - F.col("k") + 1).alias("least")).collect()}  # at most ``shingle`` rows
+    sizes = [r["k"] for r in items.select("k").distinct().collect()]  # at most ``shingle`` rows
     # The row numbers also keep the optimizer from moving a filter below, and so evaluating an array anew for each of its elements.
     rows = only(docs, id_col, text_col).select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("w"), F.monotonically_increasing_id().alias("row"))
     found = []
@@ -123,7 +146,7 @@ def leaks(
             met = each.select("row", F.posexplode("hs").alias("p", "h")).join(known, "h", "left_semi")
             hit = each.join(met.groupBy("row").agg(F.array_sort(F.collect_set("p")).alias("hits")), "row")
         hit = cut(hit.select("row", "doc_id", "w", "hs", "hits"))
-        at = hit.select("row", F.explode(_runs(F.col("hits"), min(STEP, sizes[k]))).alias("p"), "hs").select("row", "p", F.get("hs", F.col("p")).alias("h"), (F.size("hs") + k - 1).alias("size"))
+        at = hit.select("row", F.explode(_ends_of_equal(F.col("hits"), F.col("hs"))).alias("p"), "hs").select("row", "p", F.get("hs", F.col("p")).alias("h"), (F.size("hs") + k - 1).alias("size"))
         start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("offset"), F.col("size") - F.col("n")))
         starts = at.join(own, "h").select("row", start.alias("start"), "n").distinct()
         within = starts.groupBy("row").agg(F.collect_set(F.struct("start", "n")).alias("at"))
@@ -141,9 +164,9 @@ def leaks(
     if not found:
         kind, item = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id_col].dataType.simpleString()
         return docs.sparkSession.createDataFrame([], f"doc_id {kind}, item_id {item}, start int, n_words int, distance int, similarity double")
-    windows = cut(reduce(DataFrame.unionByName, found).withColumn("ordered", F.sort_array("hashes")).withColumn("row", F.monotonically_increasing_id()))
+    windows = cut(reduce(DataFrame.unionByName, found).withColumn("ordered", F.sort_array("hashes")).withColumn("sorted", F.sort_array("words")).withColumn("row", F.monotonically_increasing_id()))
     tags = _tagged(F.col("hashes"), F.col("ordered")).alias("tags")
-    prints = cut(windows.select("row", "doc_id", "k", "start", "n", F.size("words").alias("n_words"), simhash(F.col("words")).alias("fp"), tags))
+    prints = cut(windows.select("row", "doc_id", "k", "start", "n", F.size("words").alias("n_words"), simhash(_tagged(F.col("words"), F.col("sorted"))).alias("fp"), tags))
     probes = prints.select("row", "k", "n", "fp", F.inline(_blocks(F.col("fp"), 0)))
     index = items.select("item_id", "k", "n", F.col("fp").alias("item_fp"), "tags", F.inline(_blocks(F.col("fp"), radius // BLOCKS)))
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
@@ -158,7 +181,14 @@ def leaks(
     return kept.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("best.before")).alias("start"), "best.n_words", "best.distance", "best.similarity")
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:  # noqa: ANN003
-    """``docs``, all columns, without the documents that :func:`leaks` names."""
-    bad = leaks(docs, benchmark, id_col=id_col, **how).select(F.col("doc_id").alias("__leaked")).distinct()
-    return docs.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col("__leaked")), "left_anti")
+def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:  # noqa: ANN003
+    """``docs``, all columns, without the rows that hold an item, see :func:`leaks`.
+
+    A row goes by its id and text together: another row of the same id, or one without an
+    id, stays if its own text holds none. Equal rows go or stay alike. Null and empty texts
+    stay; without items every row does.
+    """
+    key = fresh(docs, "key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
+    bad = leaks(keyed, benchmark, id_col=key, text_col=text_col, **how).select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(checked(bad), key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -28,12 +28,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import SPACES, fresh, pieces_of
+from sieveline.llm.common import SPACES, checked, fresh, pieces_of
 from sieveline.storage import cut
 
 REACH, LONGEST, MIN_WORDS = 3, 64, 25
 #: A digest is heavy if it has over a share of one in so many of all windows; there are fewer than that, so they may be broadcast.
 HEAVY = 10_000
+#: Rows with spans, few in a document, that may be broadcast.
+SPANNED = 100_000
 #: Multipliers that make a window's digest of its chunks' digests.
 BASE, MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 #: The gear table follows from a rule: hashes of the byte values.
@@ -232,7 +234,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, within: bool =
 
         return texts.combine(spans, one)
 
-    joined = docs.withColumn(k, key(id_col, text_col)).join(found.select(F.col("k").alias(k), F.col("spans").alias(spans)), k, "left")
+    joined = docs.withColumn(k, key(id_col, text_col)).join(checked(found.select(F.col("k").alias(k), F.col("spans").alias(spans)), SPANNED), k, "left")
     own = [F.col(f"`{c}`") for c in docs.columns]
     whole = joined.where(F.col(spans).isNull()).select(*own)
     changed = joined.where(F.col(spans).isNotNull()).withColumn(spans, rest(F.col(f"`{text_col}`"), F.col(spans))).where(F.col(spans).isNotNull())

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import tempfile
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -258,6 +259,55 @@ def test_substring_dedup_of_one_word_over_and_over(spark):
     assert {r["doc_id"] for r in got} == {0, 1, 2, 3} and sum(r["removed_words"] > 0 for r in got) == 2
 
 
+def test_leaks_against_every_window(spark):
+    """Items with words changed, dropped and put in, of a similarity about 0.8, against all windows of the item's length."""
+    rng = random.Random(19)
+    sizes = [13, 22, 31, 49, 76, 80]
+    items = [(i, prose(rng, sizes[i % 6])) for i in range(60)]
+    items += [(60, " ".join(["the"] * 30 + ["of"] * 10)), (61, items[0][1])]
+    rows = []
+    for i, (_, t) in enumerate(items):
+        for _ in range(6):
+            w = t.split()
+            spare = max(1, len(w) // 8)
+            how = rng.randrange(4)
+            if how == 0:  # the edges
+                n = rng.randint(0, spare)
+                w[: n // 2] = prose(rng, n // 2).split()
+                w[len(w) - (n - n // 2) :] = prose(rng, n - n // 2).split()
+            elif how == 1:
+                w[rng.randrange(len(w))] = "changed"
+            elif how == 2:
+                at = rng.randrange(len(w))
+                w[at:at] = prose(rng, rng.randint(1, 3)).split()
+            else:
+                del w[rng.randrange(len(w))]
+            rows.append((len(rows), f"{prose(rng, rng.choice([0, 5, 40]))} {' '.join(w)} {prose(rng, rng.choice([0, 5, 40]))}"))
+    bag = lambda w: Counter(zip(*(w[j:] for j in range(5))))
+    want = set()
+    for d, t in rows:
+        w = t.split()
+        for i, x in items:
+            own, n = bag(x.split()), len(x.split())
+            if not own.keys() & bag(w).keys():
+                continue
+            for s in range(max(1, len(w) - n + 1)):
+                other = bag(w[s : s + n])
+                if sum((own & other).values()) >= 0.8 * sum((own | other).values()):
+                    want.add((d, i))
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want and len(want) > 200
+    assert decontamination.radius_for(0.8) == 23 and decontamination.radius_for(1.0) == 0
+
+
+def test_rows_without_leaks_go_by_id_and_text(spark):
+    rng = random.Random(20)
+    item = prose(rng, 40)
+    table = docs(spark, [(1, item), (1, prose(rng, 50)), (None, item), (None, prose(rng, 50)), (2, item), (2, item), (3, None)]).withColumnRenamed("k", "key")
+    kept = decontamination.without_leaks(table, spark.createDataFrame([(0, item), (0, item)], "item_id long, text string"))
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "None"] and kept.columns == table.columns and {r["key"] for r in kept.collect()} == {"clash"}
+
+
 def test_leaks_of_short_items_in_a_row(spark):
     rng = random.Random(10)
     items = [(i, prose(rng, 7)) for i in range(9)]
