@@ -63,4 +63,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": url_filters.judged_sql()}
+    return {"op1_url_filters": url_filters.judged_sql(), "op4_embedding_near_duplicates": embedding_forest.near_duplicates_sql()}

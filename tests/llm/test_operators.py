@@ -412,13 +412,53 @@ def test_trees_split_whatever_the_longest_vector(spark, monkeypatch):
     base = rng.standard_normal((80, 16))
     vecs = np.concatenate([base, base + 0.01 * rng.standard_normal((80, 16))])
     rows = [(i, [float(np.float32(x)) for x in v], 0) for i, v in enumerate(vecs)] + [(900, [1.0] * 17, 0)]
-    trees, fit = [], embedding_forest.fit_tree
+    grown = []
+
+    class Watched(embedding_forest.Tree):
+        def __init__(self, *how):
+            super().__init__(*how)
+            grown.append(self.leaves)
+
     monkeypatch.setattr(embedding_forest, "LEAF", 20)
-    monkeypatch.setattr(embedding_forest, "fit_tree", lambda *how: trees.append(fit(*how)) or trees[-1])
+    monkeypatch.setattr(embedding_forest, "Tree", Watched)
     got = {r["vec_id"]: r for r in embedding_forest.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
     u = np.array([r[1] for r in rows[:-1]])
     u /= np.linalg.norm(u, axis=1, keepdims=True)
     near = u @ u.T >= 0.98
     np.fill_diagonal(near, False)
-    assert len(trees) == embedding_forest.TREES and all(len(t) >= 3 for t in trees)
+    assert len(grown) == embedding_forest.TREES and all(n >= 4 for n in grown)
     assert [got[i]["n_links"] for i in range(len(vecs))] == near.sum(1).tolist() and got[900]["n_links"] == 0
+
+
+@pytest.mark.parametrize("chunk", [2048, 300])
+def test_forest_against_all_pairs(spark, monkeypatch, chunk):
+    """10,000 vectors with pairs on both sides of the threshold, and a clump of 700 near one another; far fewer comparisons than pairs."""
+    monkeypatch.setattr(embedding_forest, "CHUNK", chunk)
+    rng = np.random.default_rng(21)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    base = unit(rng.standard_normal((8000, 64)))
+    cosine = rng.uniform(0.96, 1.0, 1300)[:, None]
+    aside = rng.standard_normal((1300, 64))
+    aside = unit(aside - (aside * base[:1300]).sum(1, keepdims=True) * base[:1300])
+    clump = unit(base[7000] + rng.standard_normal((700, 64)) * 0.009)
+    vecs = np.concatenate([base, cosine * base[:1300] + np.sqrt(1 - cosine**2) * aside, clump]).astype(np.float32)
+    labels = np.concatenate([np.arange(8000) % 3, np.where(np.arange(1300) % 10 == 0, 5, np.arange(1300) % 3), np.full(700, 7000 % 3)])
+    rows = spark.createDataFrame([(i, v.tolist(), int(la), "x") for i, (v, la) in enumerate(zip(vecs, labels))], "vec_id long, embedding array<float>, label int, key string")
+    got = {r["vec_id"]: r for r in embedding_forest.near_duplicates(rows).collect()}
+    u = unit(vecs.astype(np.float64))
+    near = (u @ u.T >= 0.98) & (labels[:, None] == labels[None, :])
+    np.fill_diagonal(near, False)
+    want = near.sum(1)
+    assert len(got) == len(vecs) and sum(got[i]["n_links"] for i in got) >= 0.9999 * want.sum() and all(got[i]["n_links"] <= want[i] for i in got)
+    assert want.sum() > 400_000 and sum(got[i]["component_id"] == i for i in got) == sum(got[i]["kept"] for i in got)
+    rng = np.random.default_rng(17)
+    spill = float(np.sqrt(0.04 / 64) / 2)
+    forest = [embedding_forest.Tree(u, 6, spill, rng) for _ in range(embedding_forest.TREES)]
+    compared = sum((np.bincount(tree.lead(u[labels == la])[1]) ** 2).sum() / 2 for tree in forest for la in range(3))
+    assert compared < 0.5 * sum((labels == la).sum() ** 2 / 2 for la in range(3))
+
+
+def test_embeddings_of_awkward_rows(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (2, [-0.0, 1.0], 2), (3, [0.0, 1.0], 2), (4, [0.0, 2.0], 2), (5, [], 2), (None, None, None)]
+    got = sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"]), r["kept"]) for r in embedding_forest.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect())
+    assert got == [("1", 2, "1", True), ("1", 2, "1", True), ("2", 2, "2", True), ("3", 2, "2", False), ("4", 2, "2", False), ("5", 0, "5", True), ("None", 0, "None", False), ("None", 2, "1", False)]
