@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import held_out, only
+from sieveline.storage import cut
 
 SAMPLE = 8_000
 
@@ -14,13 +15,19 @@ SAMPLE = 8_000
 def training_rows(docs: DataFrame, labels: DataFrame, target: str, bound: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(text, y, part)`` of at most ``bound`` labelled ids that aren't held out, the first by a hash of the id.
 
-    ``part`` (0 to 9) deals the rows into fitting and calibration. The ids, bounded, are broadcast.
+    ``part`` (0 to 9) deals the rows into fitting and calibration. An id with several labels
+    has the largest; ids and labels that are null are left out. The ids, bounded, are
+    broadcast, and the rows are written once, so the documents are read once.
     """
     ids = only(labels, id_col, target).select(F.col(id_col).alias("doc_id"), F.col(target).alias("y")).where(~held_out() & F.col("y").isNotNull())
-    ids = ids.orderBy(F.xxhash64("doc_id"), "y").limit(bound).groupBy("doc_id").agg(F.max("y").alias("y"))
+    ids = cut(ids.groupBy("doc_id").agg(F.max("y").alias("y")))
+    share = min(1.0, 2 * bound / max(1, ids.count()))
+    # Hashes are even, so twice as many as are wanted lie below this one: the order is worked out for these alone.
+    low = ids.where(F.xxhash64("doc_id") <= F.lit(min((1 << 63) - 1, int(share * 2.0**64) - (1 << 63)))) if share < 1 else ids
+    ids = low.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(10)).cast("int").alias("part")
     texts = only(docs, id_col, text_col).toDF("doc_id", "text")
-    return texts.join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("y").cast("int").alias("y"), part)
+    return cut(texts.join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("y").cast("int").alias("y"), part))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

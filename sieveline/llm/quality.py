@@ -103,8 +103,8 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", bound: in
 
     got = training_rows(docs, labels, target, bound, id_col, text_col).mapInArrow(run, "x binary, y int, part int").toPandas()
     rows = [np.frombuffer(x, dtype=np.int32) for x in got["x"]]
-    order = sorted(range(len(rows)), key=lambda i: rows[i].tobytes())  # the same model whatever order the rows came in
     y, part = got["y"].to_numpy(np.int64), got["part"].to_numpy(np.int64)
+    order = sorted(range(len(rows)), key=lambda i: (rows[i].tobytes(), y[i], part[i]))  # the same model whatever order the rows came in
     return fit([rows[i] for i in order], y[order], part[order] >= 8)
 
 
@@ -129,11 +129,16 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float, float], threshold: f
 
 
 def classified(docs: DataFrame, labels: DataFrame, target: str = "quality", threshold: float = THRESHOLD, bound: int = SAMPLE) -> DataFrame:
+    """:func:`scored` by the model of :func:`train`. Without labels of both kinds every row has the score of the prior, 0.5 without any."""
     return scored(docs, train(docs, labels, target, bound), threshold)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bound: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, without the rows that the classifier rejects."""
+    """``docs``, all columns, without the rows that the classifier rejects.
+
+    A null text counts as empty; rows are judged by their text alone, so equal ones go or
+    stay alike. An empty table stays empty.
+    """
     weights, slope, intercept = train(docs, labels, "quality", bound, id_col, text_col)
 
     @F.pandas_udf("double")

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from sieveline.llm.common import held_out, only, pieces_of
 from sieveline.llm.labelled import isotonic, training_rows
 
-SAMPLE, STEMS, THRESHOLD = 20_000, 400, 0.5
+SAMPLE, THRESHOLD = 20_000, 0.5
+#: Of the stems that so many toxic rows have and whose log odds are so high, at most so many are learnt.
+STEMS, SEEN, ODDS = 400, 8, 2.5
 #: General insults, and second-person words of four languages.
 LEXICON = frozenset(
     "idiot idiots moron morons stupid dumb trash garbage scum loser losers clown pathetic worthless disgusting filth filthy fool foolish imbecile cretin vermin pig "
@@ -137,7 +139,7 @@ class Trees:
         return f
 
 
-def learn_stems(rows: DataFrame, most: int = STEMS, seen: int = 8, odds: float = 2.5) -> dict[str, float]:
+def learn_stems(rows: DataFrame, most: int = STEMS, seen: int = SEEN, odds: float = ODDS) -> dict[str, float]:
     """Stems that toxic rows have far oftener than others, with their log odds. Counts cover all of ``rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", bound: int
     got = rows.where("part >= 5").mapInArrow(run, "x binary, y int, part int").toPandas()
     x = np.array([np.frombuffer(r) for r in got["x"]]).reshape(-1, N_FEATURES)
     y, part = got["y"].to_numpy(np.int64), got["part"].to_numpy(np.int64)
-    order = np.lexsort((*x.T, y))
+    order = np.lexsort((*x.T, y, part))
     x, y, part = x[order], y[order], part[order]
     trees = Trees()
     if len(np.unique(y[part < 8])) == 2 and (part >= 8).any():
@@ -209,4 +211,5 @@ def scored(docs: DataFrame, model: dict, threshold: float = THRESHOLD, id_col: s
 
 
 def classified(docs: DataFrame, labels: DataFrame, target: str = "toxic", threshold: float = THRESHOLD, bound: int = SAMPLE) -> DataFrame:
+    """:func:`scored` by the model of :func:`train`. Without labels of both kinds every row has the score of the prior, 0.5 without any."""
     return scored(docs, train(docs, labels, target, bound), threshold)
