@@ -3,8 +3,9 @@
 A template is a row of words with regions: ``[...]`` may be left out, ``{n}`` stands for
 up to ``n`` words of any kind. It compiles into an automaton over words; a text holds the
 license where the automaton accepts, that is where the mandatory wording stands exactly,
-whatever stands in its regions. Only texts that hold a template's rarest word are cut
-into words at all.
+from the first word to the last, whatever stands in its regions. Of each template's
+mandatory words the one that the fewest templates have is its mark; only texts that hold a
+mark are cut into words at all.
 """
 
 from __future__ import annotations
@@ -21,25 +22,48 @@ from sieveline.llm.common import TO_LOWER, only, pieces_of
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Phrase and label.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
-#: Label, rarest word, template.
+#: Label and template, of notices and of the full wording of short licenses.
 TEMPLATES = (
-    ("apache-2.0", "apache", "licensed under the apache license version 2 0 [the license]"),
-    ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("cc-by-nc", "cc", "licensed under [a] [the] cc by nc [sa] [nd] {2}"),
-    ("creative-commons", "creative", "licensed under [a] [the] creative commons attribution {6} license"),
-    ("gpl-3.0", "gnu", "licensed under the gnu general public license version 3 [or [any] later]"),
-    ("gpl-notice", "redistribute", "this program is free software you can redistribute it and or modify it under the terms of the gnu [lesser] [affero] general public license as published by the free software foundation"),
-    ("isc", "fee", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("mit", "mit", "[released] [licensed] under the mit license"),
-    ("mit-text", "permission", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("mpl-2.0", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("notice", "copyright", "copyright [c] {8} all rights reserved"),
-    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("apache-2.0", "licensed under the apache license version 2 0 [the license]"),
+    ("apache-2.0-header", "licensed under the apache license version 2 0 [the license] you may not use this file except in compliance with the license you may obtain a copy of the license at {1} www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met [1] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer [2] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution [[3] neither the name of {12} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission] this software is provided by {10} as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {10} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"),
+    ("cc-by-nc", "licensed under [a] [the] cc by nc [sa] [nd] {2}"),
+    ("creative-commons", "licensed under [a] [the] creative commons attribution {6} license"),
+    ("gpl-3.0", "licensed under the gnu general public license version 3 [or [any] later]"),
+    ("gpl-notice", "this program is free software you can redistribute it and or modify it under the terms of the gnu [lesser] [affero] general public license as published by the free software foundation either version {2} of the license or at your option any later version"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted [provided that the above copyright notice and this permission notice appear in all copies] the software is provided as is and {6} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall {6} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"),
+    ("mit", "[released] [licensed] under the mit license"),
+    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice [including the next paragraph] shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall {8} be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0 [if a copy of the mpl was not distributed with this file you can obtain one at {1} mozilla org mpl 2 0]"),
+    ("notice", "copyright [c] {8} all rights reserved"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions [1] the origin of this software must not be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not required [2] altered source versions must be plainly marked as such and must not be misrepresented as being the original software [3] this notice may not be removed or altered from any source distribution"),
 )
 IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[[c for c in range(128) if not chr(c).isalnum()]] = False
 
 
+PARTS = re.compile(r"\[|\]|\{\d+\}|[^\s\[\]{}]+")
+
+
+def mandatory(template: str) -> set[str]:
+    """The words that stand in every text which the template accepts."""
+    found, depth = set(), 0
+    for part in PARTS.findall(template):
+        depth += (part == "[") - (part == "]")
+        if not depth and part[0] not in "]{":
+            found.add(part)
+    return found
+
+
+def marks(templates: Iterable[str]) -> list[str]:
+    """For each template the mandatory word that the fewest templates have, of equal ones the longest."""
+    words = [mandatory(t) for t in templates]
+    if not all(words):
+        raise ValueError("a template has no mandatory word")
+    return [min(own, key=lambda w: (sum(w in other for other in words), -len(w), w)) for own in words]
+
+
 class Automaton:
     """States are numbered; ``steps`` has each state's words, ``free`` the states that go on with any word, ``skips`` what is reached without one."""
 
@@ -47,9 +71,13 @@ class Automaton:
         self.steps: list[dict[str, int]] = [{}]
         self.free: dict[int, int] = {}
         self.skips: dict[int, list[int]] = {}
-        parts = re.findall(r"\[|\]|\{\d+\}|[^\s\[\]{}]+", template)
-        self.end = self._parse(parts, 0, 0)[0]
-        self.first = sorted({w for s in self._reach({0}) for w in self.steps[s]})
+        parts = PARTS.findall(template)
+        self.end, used = self._parse(parts, 0, 0)
+        if used < len(parts) or parts.count("[") != parts.count("]"):
+            raise ValueError(f"brackets don't match: {template}")
+        self.closure = [frozenset(self._reach({s})) for s in range(len(self.steps))]
+        self.first = sorted({w for s in self.closure[0] for w in self.steps[s]})
+        self.open = any(s in self.free for s in self.closure[0])
 
     def _state(self) -> int:
         self.steps.append({})
@@ -92,22 +120,23 @@ class Automaton:
 
     def accept(self, words: list[str], at: int) -> int | None:
         """Where the longest match from ``at`` ends, or None."""
-        now, found = self._reach({0}), None
+        now, found = self.closure[0], None
         while now:
             if self.end in now:
                 found = at
             if at == len(words):
                 break
             w = words[at]
-            now = self._reach({t for s in now for t in (self.steps[s].get(w), self.free.get(s)) if t is not None})
+            now = {x for s in now for t in (self.steps[s].get(w), self.free.get(s)) if t is not None for x in self.closure[t]}
             at += 1
         return found
 
 
 class Scanner:
-    def __init__(self, templates: Iterable[tuple[str, str, str]] = TEMPLATES, phrases: Iterable[tuple[str, str]] = PHRASES):
+    def __init__(self, templates: Iterable[tuple[str, str]] = TEMPLATES, phrases: Iterable[tuple[str, str]] = PHRASES):
         self.phrases = [(p.split(" "), label) for p, label in phrases]
-        self.automata = [(label, rare, Automaton(t)) for label, rare, t in templates]
+        templates = list(templates)
+        self.automata = [(label, mark, Automaton(t)) for (label, t), mark in zip(templates, marks(t for _, t in templates))]
         self.rare = sorted({max(p, key=len) for p, _ in self.phrases} | {rare for _, rare, _ in self.automata})
         edge = WORD.pattern[:-1]
         self.short = {w: re.compile(f"(?<!{edge}){re.escape(w)}(?!{edge})") for w in self.rare if len(w) < 5}
@@ -135,7 +164,7 @@ class Scanner:
         for label, rare, automaton in self.automata:
             if rare not in places:
                 continue
-            for i in sorted(i for w in automaton.first for i in places.get(w, ())):
+            for i in range(len(words)) if automaton.open else sorted(i for w in automaton.first for i in places.get(w, ())):
                 end = automaton.accept(words, i)
                 if end is not None:
                     own.add(label)
@@ -145,7 +174,7 @@ class Scanner:
         return len(words), len(starts), min(starts, default=None), max(starts, default=None), join(base), join(base | own), score
 
 
-def licenses(docs: DataFrame, templates: Iterable[tuple[str, str, str]] = TEMPLATES, phrases: Iterable[tuple[str, str]] = PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def licenses(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, phrases: Iterable[tuple[str, str]] = PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score)`` of every row.
 
     ``score`` is 0 without a label, 0.5 with phrases alone, and above that, to 1, the larger

@@ -234,6 +234,62 @@ def test_license_scan(spark, awkward, empty):
     assert license_scan.licenses(awkward).count() == 10 and license_scan.licenses(empty).count() == 0
     a = license_scan.Automaton("a [b [c]] {2} d")
     assert [a.accept(x.split(), 0) for x in ("a d", "a b c d", "a x y d", "a x y z d", "b")] == [2, 4, 4, None, None]
+    for wrong in ("[a", "a]", "[a] {2}"):
+        with pytest.raises(ValueError):
+            license_scan.Scanner([("x", wrong)])
+
+
+def test_license_templates_need_their_whole_wording():
+    scanner = license_scan.Scanner()
+    for label, template in license_scan.TEMPLATES:
+        words = re.sub(r"\[[^\[\]]*\]", "", re.sub(r"\[[^\[\]]*\]", "", re.sub(r"\{\d+\}", "", template))).split()
+        whole = " ".join(words)
+        assert label in scanner.scan(f"A b. {whole.upper()}, c")[5].split(",")
+        for i in {0, len(words) // 2, len(words) - 1} - ({0} if label == "mit" else set()):
+            assert label not in scanner.scan(" ".join([*words[:i], "other", *words[i + 1 :]]))[5].split(",")
+
+
+def test_license_automata_against_all_expansions():
+    rng = random.Random(22)
+
+    def grow(depth):
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.randrange(4 if depth < 2 else 2)
+            out.append("{%d}" % rng.randint(1, 2) if kind == 2 else ["["] + grow(depth + 1) + ["]"] if kind == 3 else rng.choice("ab"))
+        return out
+
+    def expand(parts):
+        ways = [()]
+        for p in parts:
+            own = [()] + expand(p[1:-1]) if isinstance(p, list) else [("*",) * k for k in range(int(p[1]) + 1)] if p[0] == "{" else [(p,)]
+            ways = [x + y for x in ways for y in own]
+        return ways
+
+    flat = lambda p: " ".join(flat(x) if isinstance(x, list) else x for x in p)
+    for _ in range(150):
+        parts = ["a", *grow(0)]
+        automaton, ways = license_scan.Automaton(flat(parts)), expand(parts)
+        words = [rng.choice("aabbc") for _ in range(12)]
+        for at in range(12):
+            ends = [at + len(x) for x in ways if len(x) <= 12 - at and all(y in ("*", w) for y, w in zip(x, words[at:]))]
+            assert automaton.accept(words, at) == max(ends, default=None)
+
+
+def test_license_phrases_against_brute_force(spark):
+    rng = random.Random(23)
+    vocab = "cc by general public license all rights reserved CC-BY x copyright mit under the é".split()
+    rows = [(i, "".join(rng.choice(vocab) + rng.choice([" ", " ", "-", ", ", "\n"]) for _ in range(rng.choice([0, 3, 40, 400])))) for i in range(60)]
+    rows.append((60, " ".join(rng.choice(vocab) for _ in range(30000))))
+    got = {r["doc_id"]: r for r in license_scan.licenses(docs(spark, [*rows, (61, None)])).collect()}
+    for i, text in rows:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        starts = [(j, label) for p, label in license_scan.PHRASES for j in range(len(words)) if words[j : j + len(p.split())] == p.split()]
+        r = got[i]
+        places = [j for j, _ in starts]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (len(words), len(starts), min(places, default=None), max(places, default=None))
+        assert r["base_labels"] == ",".join(sorted({x for _, x in starts})) and set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
+    assert got[61]["n_words"] == 0
 
 
 def test_substring_dedup(spark, awkward, empty):
