@@ -25,3 +25,9 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read from there, so that a lost executor costs no recomputation."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this engine wrote, in whatever file system it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
