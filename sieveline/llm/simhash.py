@@ -158,10 +158,11 @@ def _merge(label: np.ndarray, pairs: list[np.ndarray]) -> np.ndarray:
 
 
 def bands_for(n: int, radius: int) -> int:
-    """The number of bands that costs the least for ``n`` fingerprints: few bands copy a fingerprint to more cells, many let more of them meet.
+    """Bands that a pair within ``radius`` lies in one step of each other in one of; fewer, with longer cells, once these would meet too often.
 
-    Of random counts of two bits, two are equal with probability 3/8. A comparison within a
-    cell costs about a fiftieth of a row that is shuffled.
+    Fewer bands copy a fingerprint to more cells, more let more of them meet. Of random
+    counts of two bits, two are equal with probability 3/8. A comparison within a cell costs
+    about a fiftieth of a row that is shuffled.
     """
 
     def cost(bands: int) -> float:
@@ -170,7 +171,8 @@ def bands_for(n: int, radius: int) -> int:
         moves = sum(comb(size, k) * comb(reach, k) * (4 / 3) ** k for k in range(reach + 1))
         return bands * moves * (n + 0.02 * n * n * 0.375**size)
 
-    return min(range(2, radius + 2), key=cost, default=1) if radius else 1
+    least = min(2, radius + 1)
+    return min(range(least, max(least, (radius + 2) // 2) + 1), key=cost)
 
 
 def links(fps: DataFrame, radius: int = 4, bands: int | None = None, chunk: int = CHUNK) -> DataFrame:
