@@ -1,25 +1,34 @@
 """Top-k cosine neighbours of unit vectors.
 
-``exact`` deals the clips into blocks, multiplies each pair of blocks in one task and keeps
-each clip's best k of the block; a window merges them, so only k rows per clip and block
-are shuffled. ``probe`` compares a clip with the clips of its nearest cells alone, which
-are those of k-means centres fitted on a bounded sample.
+``exact`` packs the clips into blocks, one matrix each, and multiplies every unordered pair
+of blocks in one task, for both sides at once; a clip's best k of each block are merged, so
+only k rows per clip and block are shuffled. Blocks are large, so few copies are made, but
+there are enough of them for all cores. ``probe`` compares a clip with the clips of its
+nearest cells alone, which are those of k-means centres fitted on a bounded sample; cells
+of many clips are dealt in chunks.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
+from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions.vectors import clamp
+from sieveline.storage import cut
 
-#: Clips of a block; ties are broken by id among similarities equal to so many places.
-BLOCK, PLACES = 4096, 12
+#: The most clips of a block, and the fewest that are worth a task of their own.
+BLOCK, SMALL_BLOCK = 8192, 512
+#: Ties are broken by id among similarities equal to so many places.
+PLACES = 12
 OUT = "item_id string, neighbor_id string, similarity double"
+#: The most clips that centres are fitted on, the fewest for each of them, and the rounds of it.
+SAMPLE, PER_CELL, ROUNDS = 50_000, 39, 10
 
 
 def _none() -> pd.DataFrame:
@@ -33,11 +42,10 @@ def _best(own: np.ndarray, a: np.ndarray, ids: np.ndarray, b: np.ndarray, k: int
         s = a[i : i + 512] @ b.T
         s[own[i : i + 512, None] == ids[None, :]] = -np.inf
         m = min(k, s.shape[1])
-        cut = -np.partition(-np.round(s, PLACES), m - 1, axis=1)[:, m - 1]
-        row, col = np.nonzero(np.round(s, PLACES) >= cut[:, None])
-        keep = np.isfinite(s[row, col])
-        row, col = row[keep], col[keep]
-        order = np.lexsort((col, -np.round(s[row, col], PLACES), row))
+        rounded = np.round(s, PLACES)
+        least = -np.partition(-rounded, m - 1, axis=1)[:, m - 1]
+        row, col = np.nonzero((rounded >= least[:, None]) & np.isfinite(s))
+        order = np.lexsort((col, -rounded[row, col], row))
         row, col = row[order], col[order]
         rank = np.arange(len(row)) - np.searchsorted(row, row)
         row, col = row[rank < k], col[rank < k]
@@ -51,45 +59,71 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).withColumn("similarity", clamped)
 
 
+def blocks_for(n: int, cores: int, block: int = BLOCK) -> int:
+    """Few enough that vectors are copied little, many enough that there are two pairs of blocks for each core."""
+    for_cores = min(ceil(n / SMALL_BLOCK), ceil(2 * sqrt(cores)))
+    return max(1, ceil(n / block), for_cores)
+
+
 def exact(clips: DataFrame, k: int = 10, block: int = BLOCK) -> DataFrame:
     """``(item_id, neighbor_id, similarity, rank)``: the k nearest other clips, ties by id."""
-    n_blocks = max(1, math.ceil(clips.count() / block))
-    rows = clips.select("item_id", "vec", F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)).cast("int").alias("own"))
-    others = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
-    asks = rows.withColumn("j", others).select(F.col("own").alias("i"), "j", F.lit(True).alias("asks"), "item_id", "vec")
-    tells = rows.withColumn("i", others).select("i", F.col("own").alias("j"), F.lit(False).alias("asks"), "item_id", "vec")
+    n_blocks = blocks_for(clips.count(), clips.sparkSession.sparkContext.defaultParallelism, block)
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("item_id")
+        return pd.DataFrame({"block": [pdf["block"].iat[0]], "ids": [pdf["item_id"].to_numpy()], "matrix": [np.stack(pdf["vec"]).tobytes()]})
+
+    packed = clips.select("item_id", "vec", F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)).cast("int").alias("block")).groupBy("block").applyInPandas(pack, "block int, ids array<string>, matrix binary")
+    other = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
+    pairs = cut(packed).withColumn("other", other).select(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "ids", "matrix")
 
     def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
-        q, c = pdf[pdf["asks"]], pdf[~pdf["asks"]].sort_values("item_id")
-        if q.empty or c.empty:
-            return _none()
-        return _best(q["item_id"].to_numpy(), np.stack(q["vec"]), c["item_id"].to_numpy(), np.stack(c["vec"]), k)
+        sides = [(np.asarray(ids, dtype=object), np.frombuffer(raw).reshape(len(ids), -1)) for ids, raw in zip(pdf["ids"], pdf["matrix"])]
+        if len(sides) == 1:
+            (ids, m), i, j = sides[0], pdf["i"].iat[0], pdf["j"].iat[0]
+            return _best(ids, m, ids, m, k) if i == j else _none()  # the other block is empty
+        (x, a), (y, b) = sides
+        return pd.concat([_best(x, a, y, b, k), _best(y, b, x, a, k)])
 
-    return _ranked(asks.unionByName(tells).groupBy("i", "j").applyInPandas(multiply, OUT), k)
+    return _ranked(pairs.groupBy("i", "j").applyInPandas(multiply, OUT), k)
 
 
-def probe(clips: DataFrame, k: int = 10, cells: int = 100, probes: int = 10, sample: int = 50_000, seed: int = 17) -> DataFrame:
-    """As :func:`exact`, but each clip is compared with those of its ``probes`` nearest cells only."""
-    got = np.stack(clips.select("vec").orderBy(F.xxhash64("item_id")).limit(sample).toPandas()["vec"].to_list() or [np.zeros(1)])
-    cells = max(1, min(cells, max(1, len(got) // 39)))
+def centres_of(sample: np.ndarray, cells: int, seed: int) -> np.ndarray:
+    """Directions that k-means puts ``cells`` centres in, by cosine."""
     rng = np.random.default_rng(seed)
-    centres = got[rng.choice(len(got), cells, replace=False)]
-    for _ in range(10):
-        near = (got @ centres.T).argmax(1)
-        for c in range(cells):
-            if (near == c).any():
-                m = got[near == c].mean(0)
-                centres[c] = m / max(1e-12, np.linalg.norm(m))
-    probes = min(probes, cells)
-
-    @F.pandas_udf("array<int>")
-    def nearest(vecs: pd.Series) -> pd.Series:
-        s = np.stack(vecs) @ centres.T
-        return pd.Series(list(np.argsort(-s, axis=1, kind="stable")[:, :probes].astype(np.int32)))
-
-    rows = clips.select("item_id", "vec", nearest("vec").alias("near"))
-    asks = rows.select(F.explode("near").alias("cell"), F.lit(True).alias("asks"), "item_id", "vec")
-    tells = rows.select(F.get("near", F.lit(0)).alias("cell"), F.lit(False).alias("asks"), "item_id", "vec")
+    centres = sample[np.sort(rng.choice(len(sample), cells, replace=False))].copy()
+    for _ in range(ROUNDS):
+        near = (sample @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, near, sample)
+        length = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(length > 1e-12, sums / np.maximum(length, 1e-12), centres)
+    return centres
+
+
+def probe(clips: DataFrame, k: int = 10, cells: int = 100, probes: int = 10, sample: int = SAMPLE, seed: int = 17, chunk: int = BLOCK) -> DataFrame:
+    """As :func:`exact`, but each clip is compared with those of its ``probes`` nearest cells only; with all cells it is exact."""
+    drawn = clips.select("vec").orderBy(F.xxhash64("item_id")).limit(sample).toPandas()["vec"].to_list()
+    fitted = np.stack(drawn) if drawn else np.zeros((1, 1))
+    cells = max(1, min(cells, max(1, len(drawn) // PER_CELL)))
+    centres, probes = centres_of(fitted, cells, seed), min(probes, cells)
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                s = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1) @ centres.T
+                near = np.argsort(-s, axis=1, kind="stable")[:, :probes].astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(near) + 1, dtype=np.int32) * probes), pa.array(near.ravel()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["item_id", "vec", "near"])
+
+    rows = cut(clips.select("item_id", "vec").mapInArrow(nearest, "item_id string, vec array<double>, near array<int>"))
+    asks = rows.select(F.explode("near").alias("cell"), "item_id", "vec", F.lit(True).alias("asks"))
+    tells = rows.select(F.get("near", F.lit(0)).alias("cell"), "item_id", "vec", F.lit(False).alias("asks"))
+    size = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias(name))
+    parts = F.broadcast(size(asks, "n_asks").join(size(tells, "n_tells"), "cell"))  # a row for each cell
+    own = lambda n: F.pmod(F.xxhash64("item_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = asks.join(parts, "cell").withColumn("a", own("n_asks")).withColumn("t", every("n_tells")).unionByName(tells.join(parts, "cell").withColumn("a", every("n_asks")).withColumn("t", own("n_tells")))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         q, c = pdf[pdf["asks"]], pdf[~pdf["asks"]].sort_values("item_id")
@@ -97,10 +131,16 @@ def probe(clips: DataFrame, k: int = 10, cells: int = 100, probes: int = 10, sam
             return _none()
         return _best(q["item_id"].to_numpy(), np.stack(q["vec"]), c["item_id"].to_numpy(), np.stack(c["vec"]), k)
 
-    return _ranked(asks.unionByName(tells).groupBy("cell").applyInPandas(compare, OUT), k)
+    return _ranked(dealt.drop("n_asks", "n_tells").groupBy("cell", "a", "t").applyInPandas(compare, OUT), k)
 
 
 def nearest_neighbor(clips: DataFrame, neighbors: DataFrame) -> DataFrame:
     """``(item_id, nearest_item_id, similarity)`` for every clip; nulls without a neighbour."""
     first = neighbors.where("rank = 1").select("item_id", F.col("neighbor_id").alias("nearest_item_id"), "similarity")
     return clips.select("item_id").join(first, "item_id", "left")
+
+
+def recall(found: DataFrame, truth: DataFrame) -> float:
+    """The share of the true neighbours that a search found."""
+    n = truth.count()
+    return found.select("item_id", "neighbor_id").join(truth.select("item_id", "neighbor_id"), ["item_id", "neighbor_id"]).count() / n if n else 1.0

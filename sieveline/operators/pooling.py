@@ -28,6 +28,14 @@ def pool(frames: DataFrame, mode: str = "mean") -> DataFrame:
     return mean.select("item_id", l2_normalize(F.col("mean")).alias("vec"))
 
 
+def uniform(clips: DataFrame) -> DataFrame:
+    """``clips``, whose vectors have one dimension; an error if they have several."""
+    sizes = sorted(r["n"] for r in clips.select(F.size("vec").alias("n")).distinct().limit(5).collect())
+    if len(sizes) > 1:
+        raise RuntimeError(f"vectors of several dimensions: {', '.join(map(str, sizes))}")
+    return clips
+
+
 def max_frame_similarity(a: Column, b: Column) -> Column:
     """The largest cosine between a frame of ``a`` and a frame of ``b``, both arrays of unit vectors."""
     return F.array_max(F.transform(a, lambda x: F.array_max(F.transform(b, lambda y: clamp(dot(x, y), -1.0, 1.0)))))

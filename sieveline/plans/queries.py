@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sieveline import config
 from sieveline.functions import sampling
-from sieveline.functions.vectors import doubles, l2_normalize
+from sieveline.functions.vectors import l2_normalize
 from sieveline.operators import clusters as cl
 from sieveline.operators import knn, pooling, review, scoring
+from sieveline.operators.numbering import numbered
+from sieveline.operators.search import Cells
 from sieveline.plans import delivery, report
 from sieveline.sources import embedding, manifest
+from sieveline.storage import cut, rename, shared_folder
 
 K, THRESHOLD, LOW, FLAG = 10, 0.40, 0.35, 3
 PLACES = 6
@@ -194,17 +200,19 @@ def representative_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.array_join(sampling.representative(F.col("paths"), 1), ",").alias("one"), F.array_join(sampling.representative(F.col("paths"), 4), ",").alias("four"))
 
 
+#: Replies of a judge, by the row's number; Spark and DuckDB read this alike.
+_REPLY = """CASE (conv_id + turn) % 12
+  WHEN 0 THEN concat('{"verdict": "redundant", "confidence": ', (conv_id % 15) / 10.0, ', "reason": "r', turn, '"}')
+  WHEN 1 THEN concat('```json ', '{"verdict": "Distinct", "confidence": 0.9, "reason": "x"}', ' ```')
+  WHEN 2 THEN concat('I say ', '{"verdict": " REDUNDANT ", "confidence": -3, "reason": "y"}', ' because')
+  WHEN 3 THEN 'I think these are REDUNDANT.' WHEN 4 THEN 'redundant or distinct' WHEN 5 THEN 'Distinct, surely' WHEN 6 THEN '{"verdict": "same"}'
+  WHEN 7 THEN '{"verdict": "distinct"' WHEN 8 THEN '{"verdict": "DISTINCT", "confidence": "high"}' WHEN 9 THEN concat('{"verdict": "REDUNDANT", "confidence": 0.25, "reason": "', repeat('long ', 100), '"}')
+  WHEN 10 THEN substr(text, 1, 60) ELSE '' END"""
+
+
 def verdict_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = review.verdict(F.expr(_REPLY))
     c = _table(spark, sf_dir, "conversations")
-    reply = F.expr(
-        """case (conv_id + turn) % 5
-             when 0 then concat('{"verdict": "redundant", "confidence": ', (conv_id % 15) / 10D, ', "reason": "r', turn, '"}')
-             when 1 then concat('```json\n{"verdict": "Distinct", "confidence": 0.9, "reason": "x"}\n```')
-             when 2 then 'I think these are REDUNDANT.'
-             when 3 then 'redundant or distinct'
-             else 'no idea' end"""
-    )
-    v = review.verdict(reply)
     return c.select("conv_id", "turn", v["verdict"].alias("verdict"), F.round(v["confidence"], PLACES).alias("confidence"), v["reason"].alias("reason"))
 
 
@@ -220,12 +228,151 @@ def document_delivery_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knn_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(knn.probe(_clips(spark, sf_dir), K), "similarity")
+    """The search by cells, all of which are probed, so that it misses nothing."""
+    return _rounded(Cells(nlist=8, nprobe=8).neighbors(_clips(spark, sf_dir), K), "similarity")
 
 
-def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+def knn_default_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The neighbours that the search by cells finds with its default settings."""
+    return _rounded(Cells().neighbors(_clips(spark, sf_dir), K), "similarity")
+
+
+def diversity_score_exponents(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _scored(spark, sf_dir)
-    return spark.createDataFrame([(report.to_json(report.payload(d, _manifest(spark, sf_dir))),)], "payload string")
+    each = [scoring.summary(d.scores, d.assigned, exponent=e).select(F.lit(e).alias("exponent"), "score", "cluster_penalty") for e in (1.0, 2.0, 4.0)]
+    return _rounded(reduce(DataFrame.unionByName, each), "score", "cluster_penalty")
+
+
+def review_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many pairs each band of a sample has."""
+    zone = review.gray_zone(cl.unique_pairs(_neighbors(spark, sf_dir)), LOW, THRESHOLD)
+    kept = cut(review.stratified(zone, 50))
+    low, high = zone.agg(F.min("similarity"), F.max("similarity")).first()
+    band = F.least(F.lit(3), F.floor((F.col("similarity") - low) / (high - low) * 4)).cast("int")
+    return kept.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _rule(a: str, b: str, left: list[str], right: list[str]) -> str:
+    """A judge by rule: it follows the last digits, and fails for some pairs."""
+    n = int(a[-1]) + int(b[-1])
+    if n % 5 == 0:
+        raise ValueError("out of order")
+    return "no idea" if n % 5 == 1 else '{"verdict": "%s", "confidence": 0.75, "reason": "%d and %d frames"}' % ("redundant" if n % 5 < 4 else "DISTINCT", len(left), len(right))
+
+
+def _told(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    zone = cut(review.gray_zone(cl.unique_pairs(_neighbors(spark, sf_dir)), LOW, THRESHOLD))
+    chosen = cut(review.stratified(zone, 50))
+    clips = _table(spark, sf_dir, "embeddings").where("vec_id % 11 <> 0")
+    frames = clips.select(_item("vec_id").alias("item_id"), F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.concat(F.lit("f"), i.cast("string"))).alias("paths"))
+    told = cut(review.judged(chosen, frames, _rule, shown=2, retries=1, pause=lambda s: None))
+    return zone, chosen, told, review.verdicts(told)
+
+
+def review_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_told(spark, sf_dir)[3], "similarity")
+
+
+def review_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    zone, chosen, told, verdicts = _told(spark, sf_dir)
+    return review.counters(zone.count(), chosen.count(), told, verdicts)
+
+
+def _read_back(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The clips of the dirty manifest after it went through a file."""
+    at = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
+    rows = _dirty(spark, sf_dir).orderBy("row_number").drop("row_number")
+    if kind == "csv":
+        # Every field in quotes, as the writer would drop blanks and nulls alike.
+        line = F.concat_ws(",", *(F.concat(F.lit('"'), F.coalesce(c, F.lit("")), F.lit('"')) for c in rows.columns))
+        head = spark.createDataFrame([(0, ",".join(rows.columns))], "n long, value string")
+        lines = numbered(rows.select(line.alias("value")), "n").select("n", "value").unionByName(head).orderBy("n").select("value")
+    elif kind == "jsonl":
+        lines = rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
+    else:
+        each = numbered(rows, "n").agg(F.array_sort(F.collect_list(F.struct("n", F.struct(*rows.columns).alias("r")))).alias("rs"))
+        lines = each.select(F.to_json(F.struct(F.transform("rs", lambda x: x["r"]).alias("clips"))).alias("value"))
+    lines.coalesce(1).write.text(at)
+    part = next(r["f"] for r in spark.read.text(at).select(F.input_file_name().alias("f")).distinct().collect())
+    named = f"{at}.{kind}"
+    rename(spark, part, named)
+    dealt = manifest.clips(manifest.classified(manifest.read(spark, named), "/media"))
+    return dealt.select("row_number", "item_id", "worker_id", "timestamp", "clip_path", "duration_seconds")
+
+
+def manifest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read_back(spark, sf_dir, "csv")
+
+
+def manifest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read_back(spark, sf_dir, "json")
+
+
+def manifest_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read_back(spark, sf_dir, "jsonl")
+
+
+def row_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows numbered by range partitions, and by the order of an id."""
+    return numbered(_table(spark, sf_dir, "events").repartition(7).orderBy("event_id").select("event_id"), "row_number")
+
+
+def seek_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 120 / 7.0).alias("d"))
+    tries = sampling.seek_ladder(F.col("d"), F.col("d") * (F.col("event_id") % 4) / 3, F.col("event_id") % 4 == 3)
+    return e.select("event_id", F.posexplode(tries).alias("place", "t")).select("event_id", "place", F.col("t.mode").alias("mode"), F.round("t.seconds", PLACES).alias("seconds"))
+
+
+def safe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.when(F.col("event_id") % 50 == 0, "").otherwise(F.concat("event_type", F.lit("/ ü."), F.col("event_id").cast("string"), F.lit("-_:*")))
+    return _table(spark, sf_dir, "events").select("event_id", sampling.safe_id(name).alias("folder"))
+
+
+def _assembled(spark: SparkSession, sf_dir: str) -> report.Assembled:
+    how = config.Config(clustering=config.Clustering(similarity_threshold=THRESHOLD))
+    rejected = manifest.rejected(manifest.classified(_dirty(spark, sf_dir), "/media"))
+    return report.assembled(spark, _scored(spark, sf_dir), _manifest(spark, sf_dir), rejected, how)
+
+
+def report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _assembled(spark, sf_dir).summary
+    return spark.createDataFrame([tuple(s.values())], ", ".join(f"{k} {'double' if isinstance(v, float) else 'long'}" for k, v in s.items()))
+
+
+def report_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = _assembled(spark, sf_dir)
+    rows = said.tables["duplicate_clusters"].join(said.previews, "first_member").withColumn("flagged", F.col("size") >= FLAG)
+    return _rounded(rows, "max_similarity", "mean_similarity")
+
+
+def report_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _assembled(spark, sf_dir).members
+
+
+def report_clip_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(numbered(_assembled(spark, sf_dir).tables["clip_scores"], "place"), "novelty", "max_similarity")
+
+
+def orderings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of rows in the orders that results come in."""
+    d = _scored(spark, sf_dir)
+    zone = review.gray_zone(d.pairs, LOW, THRESHOLD)
+    pair = F.concat_ws(" ", "a", "b")
+    each = {
+        "clips": d.clips.orderBy("item_id").select(F.col("item_id").alias("key")),
+        "pairs": d.pairs.orderBy("a", "b").select(pair.alias("key")),
+        "candidates": review.ordered(zone).select(pair.alias("key")),
+        "workers": report.worst_first(scoring.redundancy_by(d.scores, _manifest(spark, sf_dir), "worker_id")).select("key"),
+        "clusters": cl.clusters(d.assigned, d.edges, 2).orderBy("cluster_id").select(F.col("first_member").alias("key")),
+        "flagged": cl.flagged(d.assigned, FLAG).orderBy("item_id").select(F.col("item_id").alias("key")),
+    }
+    return reduce(DataFrame.unionByName, (numbered(df, "place").withColumn("kind", F.lit(kind)) for kind, df in each.items()))
+
+
+def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON report, as one text."""
+    said = _assembled(spark, sf_dir)
+    return spark.createDataFrame([("".join(report._json_parts(said, {"enabled": False}, {}, "")),)], "payload string")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -233,7 +380,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         diversity_score, ingest_valid, ingest_rejected, ingest_counts, l2_normalized, mean_pool, single_frame_pool, max_frame_pair, knn_topk, nearest_neighbor, clip_scores,
         unique_pairs, threshold_edges, gray_zone_pairs, connected_components, clusters, redundancy_by_worker, redundancy_by_session, flagged_for_removal,
         forced_merge_recluster, stratified_sample, frames_for_duration, sample_offsets, representative_frames, verdict_parse, stub_embed_documents,
-        document_delivery_score, knn_probe, report_payload,
+        document_delivery_score, knn_probe, knn_default_cells, diversity_score_exponents, review_bands, review_verdicts, review_counters, manifest_csv, manifest_json, manifest_json_lines,
+        row_ordinals, seek_ladder, safe_ids, report_summary, report_clusters, report_members, report_clip_scores, orderings, report_payload,
     )
     return {f.__name__: f for f in own}
 
@@ -288,6 +436,31 @@ FROM (SELECT avg(novelty) AS n, count(*) AS t FROM scores),
      (SELECT coalesce(sum(size ** 1.5), 0.0) / (SELECT count(*) FROM scores) AS p, count(*) AS dc, coalesce(sum(size), 0)::BIGINT AS cc FROM assigned WHERE size > 1 AND item_id = component)"""
 
 
+_DOC_VECS = f"""
+h AS (SELECT format('doc_{{:012d}}', doc_id) AS item_id, k, sha256(encode(text) || unhex(format('{{:02x}}000000', k))) AS hex FROM documents, range(0, 8) t(k)),
+w AS (SELECT item_id, k * 8 + j AS i, substr(hex, j * 8 + 1, 8) AS x FROM h, range(0, 8) s(j)),
+l AS (SELECT item_id, list(('0x' || substr(x, 7, 2) || substr(x, 5, 2) || substr(x, 3, 2) || substr(x, 1, 2))::BIGINT / 4294967296.0::DOUBLE - 0.5 ORDER BY i) AS e FROM w GROUP BY 1),
+u AS (SELECT item_id, {_UNIT.format(e="e")} AS vec FROM l)"""
+
+
+def _sampled(zone: str, cap: int = 50, seed: int = 17) -> str:
+    """``zone`` and ``sampled``, with bands: the fixed rule, band by band."""
+    return f"""zone AS ({zone}), ends AS (SELECT min(similarity) AS lo, max(similarity) - min(similarity) AS width, count(*) AS n FROM zone),
+banded AS (SELECT z.*, least(3, floor((similarity - lo) / width * 4))::INT AS band FROM zone z, ends),
+sizes AS (SELECT band, count(*) AS m, row_number() OVER (ORDER BY count(*), band) AS pos FROM banded GROUP BY 1),
+takes AS (SELECT 0::BIGINT AS pos, -1 AS band, {cap}::BIGINT AS room, (SELECT n FROM ends) AS rest, 0::BIGINT AS take
+  UNION ALL SELECT s.pos, s.band, t.room - t.take, t.rest - coalesce((SELECT m FROM sizes WHERE pos = t.pos), 0),
+    least(t.room - t.take, s.m, greatest(1, round_even((t.room - t.take) * s.m / (t.rest - coalesce((SELECT m FROM sizes WHERE pos = t.pos), 0)), 0)::BIGINT)) FROM takes t JOIN sizes s ON s.pos = t.pos + 1),
+lots AS (SELECT *, row_number() OVER (PARTITION BY band ORDER BY sha256('{seed}|' || a || '|' || b)) AS lot FROM banded),
+sampled AS (SELECT lots.* FROM lots JOIN takes USING (band) WHERE lot <= take OR (SELECT n FROM ends) <= {cap})"""
+
+
+_JUDGED = """
+digits AS (SELECT *, (right(a, 1)::INT + right(b, 1)::INT) % 5 AS d, substr(a, 6)::INT % 11 <> 0 AND substr(b, 6)::INT % 11 <> 0 AS shown FROM sampled),
+judged AS (SELECT a, b, similarity, shown, CASE WHEN d < 2 THEN 'UNKNOWN' WHEN d < 4 THEN 'REDUNDANT' ELSE 'DISTINCT' END AS verdict, CASE WHEN d < 2 THEN 0.0 ELSE 0.75 END::DOUBLE AS confidence,
+  CASE d WHEN 0 THEN 'judge failed: out of order' WHEN 1 THEN 'unparseable reply: no idea' ELSE '2 and 2 frames' END AS reason FROM digits)"""
+
+
 def oracle_sql() -> dict[str, str]:
     near, vecs = _near(K), _VECS
     over = f"SELECT * FROM pairs WHERE similarity >= {THRESHOLD}"
@@ -335,8 +508,48 @@ SELECT event_id, CASE WHEN n <= 1 THEN 'f0' ELSE 'f' || (n // 2) END AS one,
 w AS (SELECT item_id, k * 8 + j AS i, substr(hex, j * 8 + 1, 8) AS x FROM h, range(0, 8) s(j)),
 n AS (SELECT item_id, i, ('0x' || substr(x, 7, 2) || substr(x, 5, 2) || substr(x, 3, 2) || substr(x, 1, 2))::BIGINT / 4294967296.0::DOUBLE - 0.5 AS x FROM w),
 l AS (SELECT item_id, list(x ORDER BY i) AS e FROM n GROUP BY 1), p AS (SELECT item_id, {_UNIT.format(e="e")} AS vec FROM l) {_spread("p")}""",
-        "verdict_parse": """SELECT conv_id, turn, CASE (conv_id + turn) % 5 WHEN 0 THEN 'REDUNDANT' WHEN 1 THEN 'DISTINCT' WHEN 2 THEN 'REDUNDANT' ELSE 'UNKNOWN' END AS verdict,
-  CASE (conv_id + turn) % 5 WHEN 0 THEN least(1.0, (conv_id % 15) / 10) WHEN 1 THEN 0.9 WHEN 2 THEN 0.5 ELSE 0.0 END::DOUBLE AS confidence,
-  CASE (conv_id + turn) % 5 WHEN 0 THEN 'r' || turn WHEN 1 THEN 'x' ELSE '' END AS reason FROM conversations""",
+        "verdict_parse": f"""WITH r AS (SELECT conv_id, turn, {_REPLY} AS reply FROM conversations), j AS (SELECT *, regexp_extract(reply, '(?s)\\{{.*\\}}') AS body FROM r),
+p AS (SELECT *, CASE WHEN json_valid(body) THEN body END AS b FROM j),
+f AS (SELECT *, upper(json_extract_string(b, '$.verdict')) AS said, try_cast(coalesce(json_extract_string(b, '$.confidence'), '0') AS DOUBLE) AS sure, upper(reply) LIKE '%REDUNDANT%' AS same, upper(reply) LIKE '%DISTINCT%' AS new FROM p),
+g AS (SELECT *, coalesce(said IN ('REDUNDANT', 'DISTINCT') AND sure IS NOT NULL, false) AS good FROM f)
+SELECT conv_id, turn, CASE WHEN good THEN said WHEN same AND NOT new THEN 'REDUNDANT' WHEN new AND NOT same THEN 'DISTINCT' ELSE 'UNKNOWN' END AS verdict,
+  CASE WHEN good THEN round(least(1.0, greatest(0.0, sure)), {PLACES}) WHEN same <> new THEN 0.5 ELSE 0.0 END::DOUBLE AS confidence,
+  CASE WHEN good THEN substr(coalesce(json_extract_string(b, '$.reason'), ''), 1, 400) WHEN same <> new THEN 'unstructured reply' ELSE 'unparseable reply: ' || substr(trim(coalesce(reply, '')), 1, 120) END AS reason FROM g""",
+        "knn_probe": f"WITH {near} SELECT item_id, neighbor_id, round(similarity, {PLACES}) AS similarity, rank::INT AS rank FROM nn",
+        "document_delivery_score": f"""{_graph("SELECT * FROM pairs WHERE similarity >= 0.91", _near(K, _DOC_VECS))} {_SUMMARY}""",
+        "stratified_sample": f"WITH RECURSIVE {near}, {_sampled(zone)} SELECT a, b, round(similarity, {PLACES}) AS similarity FROM sampled",
+        "review_bands": f"WITH RECURSIVE {near}, {_sampled(zone)} SELECT band, count(*) AS n FROM sampled GROUP BY 1",
+        "review_verdicts": f"WITH RECURSIVE {near}, {_sampled(zone)}, {_JUDGED} SELECT a, b, round(similarity, {PLACES}) AS similarity, verdict, confidence, reason FROM judged WHERE shown",
+        "review_counters": f"""WITH RECURSIVE {near}, {_sampled(zone)}, {_JUDGED}
+SELECT (SELECT count(*) FROM zone) AS considered, count(*) FILTER (shown) AS reviewed, (SELECT count(*) FROM zone) - count(*) AS skipped_for_cap,
+  count(*) FILTER (NOT shown OR verdict = 'UNKNOWN') AS errors, count(*) FILTER (shown AND verdict = 'REDUNDANT') AS merged FROM judged""",
+        "diversity_score_exponents": f"""{graph} SELECT exponent, round(greatest(0.0, (n - p) * 15.0), {PLACES}) AS score, round(p, {PLACES}) AS cluster_penalty
+FROM (SELECT avg(novelty) AS n FROM scores), (SELECT e::DOUBLE AS exponent, coalesce(sum(size ** e) FILTER (size > 1), 0.0) / (SELECT count(*) FROM scores) AS p FROM (VALUES (1.0), (2.0), (4.0)) t(e), assigned WHERE item_id = component GROUP BY 1)""",
+        "row_ordinals": "SELECT event_id, row_number() OVER (ORDER BY event_id) AS row_number FROM events",
+        "seek_ladder": f"""WITH e AS (SELECT event_id, (event_id % 120 / 7.0)::DOUBLE AS d, event_id % 4 AS i FROM events), o AS (SELECT *, d * i / 3 AS o FROM e),
+t AS (SELECT event_id, CASE WHEN i = 3 THEN list_transform([0.1, 0.25, 0.5, 1.0]::DOUBLE[], lambda m: {{'mode': 'from_end', 'seconds': least(m, greatest(d * 0.5, 0.01))}}) ELSE [{{'mode': 'from_start', 'seconds': o}}] END
+  || list_filter(list_transform([0.95, 0.85, 0.5]::DOUBLE[], lambda f: {{'mode': 'from_start', 'seconds': o * f}}), lambda x: x.seconds > 0.01) || [{{'mode': 'from_start', 'seconds': 0.0::DOUBLE}}] AS tries FROM o)
+SELECT event_id, (i - 1)::INT AS place, tries[i].mode AS mode, round(tries[i].seconds, {PLACES}) AS seconds FROM (SELECT *, unnest(range(1, len(tries) + 1)) AS i FROM t)""",
+        "safe_ids": "SELECT event_id, CASE WHEN event_id % 50 = 0 THEN '_unnamed' ELSE regexp_replace(event_type || '/ ü.' || event_id || '-_:*', '[^\\p{L}\\p{N}._-]', '_', 'g') END AS folder FROM events",
+        "report_summary": f"""{graph}, sc AS (SELECT avg(novelty) AS n, count(*) AS t FROM scores), pen AS (SELECT coalesce(sum(size ** 1.5), 0.0) / (SELECT t FROM sc) AS p, count(*) AS dc, coalesce(sum(size), 0)::BIGINT AS cc FROM assigned WHERE size > 1 AND item_id = component),
+{_DIRTY.strip()}, x AS (SELECT count(*) AS refused FROM r WHERE reason IS NOT NULL)
+SELECT round(greatest(0.0, (n - p) * 15.0), 4) AS score, 15.0::DOUBLE AS max_points, round(greatest(0.0, n - p), 4) AS score_fraction, round(n, 6) AS avg_novelty, round(p, 6) AS cluster_penalty, t AS total_clips, dc AS duplicate_clusters, cc AS clips_in_duplicate_clusters,
+  t + refused AS manifest_rows, t AS clips_ingested, refused AS clips_rejected, t AS clips_scored, (SELECT count(*) FROM assigned WHERE size >= {FLAG} AND item_id <> component) AS flagged_for_removal FROM sc, pen, x""",
+        "report_clusters": f"""{graph}, inside AS (SELECT component, max(similarity) AS top, avg(similarity) AS mean FROM edges JOIN comp ON comp.item_id = edges.a GROUP BY 1),
+listed AS (SELECT component, size, list(item_id ORDER BY item_id) AS ids FROM assigned WHERE size > 1 GROUP BY 1, 2)
+SELECT (row_number() OVER (ORDER BY size DESC, component) - 1)::INT AS cluster_id, component AS first_member, size, round(top, {PLACES}) AS max_similarity, round(mean, {PLACES}) AS mean_similarity,
+  array_to_string(ids[1:6], ', ') || CASE WHEN len(ids) > 6 THEN ' ...' ELSE '' END AS members, size >= {FLAG} AS flagged FROM listed JOIN inside USING (component)""",
+        "report_members": f"""{graph}, n AS (SELECT component, (row_number() OVER (ORDER BY size DESC, component) - 1)::INT AS cluster_id FROM assigned WHERE size > 1 AND item_id = component)
+SELECT cluster_id, item_id FROM n JOIN assigned USING (component)""",
+        "report_clip_scores": f"""{graph}, n AS (SELECT component, (row_number() OVER (ORDER BY size DESC, component) - 1)::INT AS cluster_id FROM assigned WHERE item_id = component)
+SELECT item_id, round(novelty, {PLACES}) AS novelty, round(max_similarity, {PLACES}) AS max_similarity, nearest_item_id, cluster_size, cluster_id, row_number() OVER (ORDER BY novelty, item_id) AS place FROM scores JOIN assigned USING (item_id) JOIN n USING (component)""",
+        "orderings": f"""{graph}, g AS (SELECT v.worker_id AS key, count(*) FILTER (cluster_size > 1) AS c, count(*) FILTER (cluster_size > 1) / count(*) AS r FROM scores s JOIN v USING (item_id) GROUP BY 1)
+SELECT 'clips' AS kind, row_number() OVER (ORDER BY item_id) AS place, item_id AS key FROM u
+UNION ALL SELECT 'pairs', row_number() OVER (ORDER BY a, b), a || ' ' || b FROM pairs
+UNION ALL SELECT 'candidates', row_number() OVER (ORDER BY similarity DESC, a, b), a || ' ' || b FROM ({zone})
+UNION ALL SELECT 'workers', row_number() OVER (ORDER BY c DESC, r DESC, key), key FROM g
+UNION ALL SELECT 'clusters', row_number() OVER (ORDER BY size DESC, component), component FROM assigned WHERE size > 1 AND item_id = component
+UNION ALL SELECT 'flagged', row_number() OVER (ORDER BY item_id), item_id FROM assigned WHERE size >= {FLAG} AND item_id <> component""",
     }
+    out |= dict.fromkeys(("manifest_csv", "manifest_json", "manifest_json_lines"), out["ingest_valid"])
     return out

@@ -1,68 +1,187 @@
-"""The report: a payload of plain values, and its JSON and Markdown."""
+"""The reports of a run: JSON in full, Markdown in short, and the rejected rows as CSV.
+
+Tables stay DataFrames in the order they are told in. JSON and CSV are written row by row
+as partitions arrive, so the driver never holds a table; Markdown takes the first rows and
+a count.
+"""
 
 from __future__ import annotations
 
 import csv
 import json
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+from datetime import UTC, datetime
+from itertools import groupby
 from pathlib import Path
+from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sieveline.config import Config
 from sieveline.operators import clusters as cl
 from sieveline.operators import scoring
-from sieveline.plans.delivery import Delivery
-
-#: Rows that Markdown tables show at most; JSON has all.
-SHOWN, SHOWN_FLAGS = 25, 50
-
-
-def payload(d: Delivery, manifest: DataFrame, rejected: DataFrame | None = None, flag_size: int = 3, max_points: float = 15.0, exponent: float = 1.5) -> dict:
-    s = scoring.summary(d.scores, d.assigned, max_points, exponent).first()
-    worst = lambda who: [
-        {"key": r["key"], "clips": r["clips"], "clustered_clips": r["clustered_clips"], "mean_novelty": round(r["mean_novelty"], 4), "redundancy_rate": round(r["redundancy_rate"], 4), "share": round(r["share"], 4)}
-        for r in scoring.redundancy_by(d.scores, manifest, who).orderBy(F.desc("clustered_clips"), F.desc("redundancy_rate"), "key").collect()
-    ]
-    flags = [r["item_id"] for r in cl.flagged(d.assigned, flag_size).orderBy("item_id").collect()]
-    dup = cl.clusters(d.assigned, d.edges).where("size > 1").orderBy(F.desc("size"), "first_member")
-    return {
-        "score": round(s["score"], 4), "max_points": max_points, "score_fraction": round(s["score"] / max_points, 4) if max_points else 0.0,
-        "avg_novelty": round(s["avg_novelty"], 6), "cluster_penalty": round(s["cluster_penalty"], 6),
-        "totals": {"clips": s["total_clips"], "duplicate_clusters": s["duplicate_clusters"], "clipped_clips": s["clipped_clips"], "flagged_for_removal": len(flags)},
-        "by_worker": worst("worker_id"), "by_session": worst("session_id"),
-        "clusters": [{**r.asDict(), "max_similarity": round(r["max_similarity"], 4), "mean_similarity": round(r["mean_similarity"], 4)} for r in dup.collect()],
-        "flagged_for_removal": flags,
-        "rejected": [r.asDict() for r in rejected.orderBy("row_number").collect()] if rejected is not None else [],
+from sieveline.sources import frames as media
+from sieveline.storage import cut
+
+# Rows that Markdown tables show at most, flagged clips, and ids of a cluster; places that numbers are rounded to.
+SHOWN, SHOWN_FLAGS, SHOWN_MEMBERS = 25, 50, 6
+SUMMARY_PLACES = {"score": 4, "score_fraction": 4, "avg_novelty": 6, "cluster_penalty": 6}
+PLACES = 4
+
+
+@dataclass
+class Assembled:
+    """``tables`` by name, each in its order."""
+
+    summary: dict[str, Any]
+    config: dict[str, Any]
+    tables: dict[str, DataFrame]
+    members: DataFrame
+    previews: DataFrame
+    thumbnails: dict[int, str] = field(default_factory=dict)
+
+
+def worst_first(groups: DataFrame) -> DataFrame:
+    return groups.orderBy(F.desc("clustered_clips"), F.desc("redundancy_rate"), "key")
+
+
+def least_novel_first(scores: DataFrame) -> DataFrame:
+    return scores.orderBy("novelty", "item_id")
+
+
+def clip_rows(scores: DataFrame, assigned: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``scores`` with the number of each clip's cluster."""
+    of = assigned.join(numbers.select("cluster_id", F.col("first_member").alias("component")), "component").select("item_id", "cluster_id")
+    return scores.join(of, "item_id", "left")
+
+
+def assembled(spark: SparkSession, found: Any, clips: DataFrame, rejected: DataFrame, how: Config, frames: DataFrame | None = None, thumbnails: str | None = None) -> Assembled:
+    """All that the reports tell. ``found`` is a scored delivery, or none if nothing could be scored."""
+    ingested, refused = clips.count(), rejected.count()
+    echo = {
+        "similarity_threshold": how.clustering.similarity_threshold, "flag_cluster_size": how.clustering.flag_cluster_size, "penalty_exponent": how.scoring.penalty_exponent, "max_points": how.scoring.max_points,
+        "embedding_backend": how.embeddings.backend, "embedding_model": how.embeddings.model_name, "index_type": how.search.index_type, "top_k": how.search.top_k,
+        "frames_per_clip": how.frames.count, "pooling_mode": how.pooling.mode, "borderline_review_enabled": how.borderline_review.enabled,
+    }
+    empty = lambda schema: spark.createDataFrame([], schema)
+    if found is None:
+        told = {"score": 0.0, "avg_novelty": 0.0, "cluster_penalty": 0.0, "total_clips": 0, "duplicate_clusters": 0, "clipped_clips": 0}
+        groups = empty("key string, clips long, clustered_clips long, mean_novelty double, redundancy_rate double, share double")
+        numbers = empty("cluster_id int, first_member string, size long, max_similarity double, mean_similarity double")
+        flags, scores = empty("item_id string"), empty("item_id string, novelty double, max_similarity double, nearest_item_id string, cluster_size long, cluster_id int")
+        by = {"worker": groups, "session": groups}
+        members, previews = empty("cluster_id int, item_id string"), empty("first_member string, members string")
+    else:
+        told = scoring.summary(found.scores, found.assigned, how.scoring.max_points, how.scoring.penalty_exponent).first().asDict()
+        all_numbers = cut(cl.clusters(found.assigned, found.edges))
+        numbers = all_numbers.where("size > 1").orderBy(F.desc("size"), "first_member")
+        flags = cl.flagged(found.assigned, how.clustering.flag_cluster_size).orderBy("item_id")
+        scores = least_novel_first(clip_rows(found.scores, found.assigned, all_numbers))
+        by = {who: worst_first(scoring.redundancy_by(found.scores, clips, f"{who}_id")) for who in ("worker", "session")}
+        members, previews = cl.members(found.assigned, numbers).orderBy("cluster_id", "item_id"), cl.preview(found.assigned, SHOWN_MEMBERS)
+    summary = {
+        "score": told["score"], "max_points": how.scoring.max_points, "score_fraction": told["score"] / how.scoring.max_points, "avg_novelty": told["avg_novelty"], "cluster_penalty": told["cluster_penalty"],
+        "total_clips": told["total_clips"], "duplicate_clusters": told["duplicate_clusters"], "clips_in_duplicate_clusters": told["clipped_clips"],
+        "manifest_rows": ingested + refused, "clips_ingested": ingested, "clips_rejected": refused, "clips_scored": told["total_clips"], "flagged_for_removal": flags.count(),
     }
+    tables = {"duplicate_clusters": numbers, "clips_flagged_for_removal": flags, "redundancy_by_worker": by["worker"], "redundancy_by_session": by["session"], "clip_scores": scores, "rejected_clips": rejected.orderBy("row_number")}
+    pictures = {}
+    if found is not None and frames is not None and thumbnails is not None:
+        pictures = {r["cluster_id"]: r["path"] for r in media.thumbnails(numbers, frames, thumbnails).toLocalIterator()}
+    return Assembled({k: round(v, SUMMARY_PLACES[k]) if k in SUMMARY_PLACES else v for k, v in summary.items()}, echo, tables, members, previews, pictures)
+
+
+def _cluster(row: dict, flag: int, thumbnails: dict[int, str]) -> dict:
+    out = {"cluster_id": row["cluster_id"], "size": row["size"], "first_member": row["first_member"], "max_similarity": round(row["max_similarity"], PLACES), "mean_similarity": round(row["mean_similarity"], PLACES), "flagged": row["size"] >= flag}
+    return out | ({"thumbnail": thumbnails[row["cluster_id"]]} if row["cluster_id"] in thumbnails else {})
+
+
+def rows_of(said: Assembled, name: str) -> Iterator[Any]:
+    """The rows of a table as JSON tells them, one after the other."""
+    rows = (r.asDict() for r in said.tables[name].toLocalIterator())
+    if name == "clips_flagged_for_removal":
+        return (r["item_id"] for r in rows)
+    if name.startswith("redundancy_by"):
+        names = {"share": "share_of_delivery_redundancy"}
+        return ({names.get(k, k): round(v, PLACES) if isinstance(v, float) else v for k, v in r.items()} for r in rows)
+    if name == "duplicate_clusters":
+        # Clusters are numbered in this order, and members come by number, so the two run side by side.
+        listed = groupby(said.members.toLocalIterator(), key=lambda m: m["cluster_id"])
+        return (_cluster(r, said.config["flag_cluster_size"], said.thumbnails) | {"members": [m["item_id"] for m in own]} for r, (_, own) in zip(rows, listed))
+    return rows
+
+
+def _json_parts(said: Assembled, review: dict, seconds: dict[str, float], now: str) -> Iterator[str]:
+    dump = lambda x, depth: json.dumps(x, indent=2, ensure_ascii=False).replace("\n", "\n" + "  " * depth)
+    yield "{\n"
+    for name, value in (("generated_at", now), ("summary", said.summary), ("config", said.config)):
+        yield f'  "{name}": {dump(value, 1)},\n'
+    for name in said.tables:
+        before = "\n"
+        yield f'  "{name}": ['
+        for row in rows_of(said, name):
+            yield f"{before}    {dump(row, 2)}"
+            before = ",\n"
+        yield "],\n" if before == "\n" else "\n  ],\n"
+    yield f'  "borderline_review": {dump(review, 1)},\n  "timings_seconds": {dump(seconds, 1)}\n}}\n'
+
 
+def _table(names: list[str], rows: list[list[Any]]) -> list[str]:
+    if not rows:
+        return ["_none_", ""]
+    line = lambda cells: "| " + " | ".join(map(str, cells)) + " |"
+    return [line(names), "|" + "---|" * len(names), *map(line, rows), ""]
 
-def to_json(report: dict) -> str:
-    return json.dumps(report, indent=2, ensure_ascii=False)
 
+def _cut_note(shown: int, total: int) -> list[str]:
+    return [f"_Showing {shown} of {total}; the JSON report has all._", ""] if total > shown else []
 
-def _rows(names: list[str], rows: list[dict], most: int) -> list[str]:
-    out = ["| " + " | ".join(names) + " |", "|" + "---|" * len(names)]
-    out += ["| " + " | ".join(str(r[n]) for n in names) + " |" for r in rows[:most]]
-    return [*out, *([f"Showing {most} of {len(rows)}."] if len(rows) > most else []), ""]
 
+def markdown(said: Assembled, review: dict, seconds: dict[str, float], now: str) -> str:
+    s, c, t = said.summary, said.config, said.tables
+    out = ["# Diversity of the delivery", "", f"_{now}_", "", f"## Score: {s['score']:.2f} of {s['max_points']:.0f}", ""]
+    out += _table(["Measure", "Value"], [["Average novelty", f"{s['avg_novelty']:.4f}"], ["Cluster penalty", f"{s['cluster_penalty']:.4f}"], ["Clips scored", s["clips_scored"]], ["Duplicate clusters", s["duplicate_clusters"]], ["Clips in them", s["clips_in_duplicate_clusters"]], ["Clips flagged", s["flagged_for_removal"]], ["Rows rejected", s["clips_rejected"]]])
+    out += [f"The score is the average novelty less the cluster penalty, 0 at least, times {s['max_points']:.0f}; the penalty is the sum of size ** {c['penalty_exponent']} over clusters of two clips or more, over the number of clips.", ""]
+    if not s["clips_scored"]:
+        out += ["> Nothing could be scored, so the score says nothing. See the rejected rows.", ""]
+    model = c["embedding_backend"] if c["embedding_backend"] == "stub" else f"{c['embedding_backend']} ({c['embedding_model']})"
+    out += ["## Settings", "", *_table(["Setting", "Value"], [["Embedding", model], ["Frames a clip", c["frames_per_clip"]], ["Pooling", c["pooling_mode"]], ["Search", f"{c['index_type']}, {c['top_k']} neighbours"], ["Threshold", c["similarity_threshold"]], ["Clusters flagged from", c["flag_cluster_size"]], ["Review", "on" if c["borderline_review_enabled"] else "off"]])]
 
-def to_markdown(report: dict) -> str:
-    t = report["totals"]
-    out = ["# Delivery diversity", "", f"Score {report['score']} of {report['max_points']}: novelty {report['avg_novelty']}, penalty {report['cluster_penalty']}.", f"{t['clips']} clips, {t['duplicate_clusters']} duplicate clusters with {t['clipped_clips']} clips.", ""]
-    for title, part in (("Workers", "by_worker"), ("Sessions", "by_session")):
-        out += [f"## {title}", "", *_rows(["key", "clips", "clustered_clips", "redundancy_rate", "share"], [r for r in report[part] if r["clustered_clips"]], SHOWN)]
-    out += ["## Clusters", "", *_rows(["cluster_id", "first_member", "size", "max_similarity", "mean_similarity"], report["clusters"], SHOWN)]
-    out += ["## Flagged for removal", "", *_rows(["item_id"], [{"item_id": i} for i in report["flagged_for_removal"]], SHOWN_FLAGS)]
+    n = s["duplicate_clusters"]
+    rows = t["duplicate_clusters"].limit(SHOWN).join(said.previews, "first_member", "left").orderBy("cluster_id").collect()
+    out += [f"## Duplicate clusters ({n})", "", *_table(["Cluster", "Size", "Max similarity", "Flagged", "Members"], [[r["cluster_id"], r["size"], f"{r['max_similarity']:.4f}", "yes" if r["size"] >= c["flag_cluster_size"] else "", r["members"]] for r in rows]), *_cut_note(SHOWN, n)]
+    for who in ("worker", "session"):
+        unclean = t[f"redundancy_by_{who}"].where("clustered_clips > 0")
+        groups = [[r["key"], r["clips"], r["clustered_clips"], f"{100 * r['redundancy_rate']:.0f}%", f"{100 * r['share']:.0f}%"] for r in unclean.limit(SHOWN).collect()]
+        out += [f"## Redundancy by {who}", "", *_table([who.capitalize(), "Clips", "Clustered", "Own rate", "Share of all"], groups), *(_cut_note(SHOWN, unclean.count()) if len(groups) == SHOWN else [])]
+    flags = [r["item_id"] for r in t["clips_flagged_for_removal"].limit(SHOWN_FLAGS).collect()]
+    out += [f"## Clips flagged for removal ({s['flagged_for_removal']})", "", *(["```", *flags, "```", ""] if flags else ["_none_", ""]), *_cut_note(SHOWN_FLAGS, s["flagged_for_removal"])]
+    if review.get("error"):
+        out += ["## Review", "", f"It failed, so the clusters are not corrected: {review['error']}", ""]
+    elif review.get("reviewed"):
+        out += ["## Review", "", f"{review['reviewed']} of {review['considered']} pairs judged, {review['skipped_for_cap']} beyond the cap, {review['errors']} unclear, {review['merged']} merged.", ""]
+        told = review["verdicts"]
+        out += [*_table(["A", "B", "Similarity", "Verdict", "Confidence", "Reason"], [[v["item_a"], v["item_b"], f"{v['similarity']:.3f}", v["verdict"], f"{v['confidence']:.2f}", v["reason"]] for v in told[:SHOWN]]), *_cut_note(SHOWN, len(told))]
+    refused = [[r["row_number"], r["item_id"] or "_none_", r["reason"]] for r in t["rejected_clips"].limit(SHOWN).collect()]
+    out += [f"## Rejected rows ({s['clips_rejected']})", "", *_table(["Row", "Item", "Reason"], refused), *_cut_note(SHOWN, s["clips_rejected"])]
+    if seconds:
+        out += ["## Seconds by stage", "", *_table(["Stage", "Seconds"], [[k, f"{v:.2f}"] for k, v in seconds.items()])]
     return "\n".join(out)
 
 
-def write(report: dict, folder: str) -> None:
-    """``report.json``, ``report.md`` and ``rejected.csv``, which is written even if nothing was rejected."""
-    top = Path(folder)
+def written(said: Assembled, folder: str, review: dict | None = None, seconds: dict[str, float] | None = None) -> dict[str, str]:
+    """``report.json``, ``report.md`` and ``rejected_clips.csv``, which is written even if nothing was rejected; their paths."""
+    top, review, seconds = Path(folder), review or {"enabled": False}, seconds or {}
     top.mkdir(parents=True, exist_ok=True)
-    (top / "report.json").write_text(to_json(report), encoding="utf-8")
-    (top / "report.md").write_text(to_markdown(report), encoding="utf-8")
-    with (top / "rejected.csv").open("w", encoding="utf-8", newline="") as f:
+    files = {"json": top / "report.json", "markdown": top / "report.md", "rejected_csv": top / "rejected_clips.csv"}
+    now = datetime.now(UTC).isoformat(timespec="seconds")
+    with files["json"].open("w", encoding="utf-8") as f:
+        f.writelines(_json_parts(said, review, seconds, now))
+    files["markdown"].write_text(markdown(said, review, seconds, now), encoding="utf-8")
+    with files["rejected_csv"].open("w", encoding="utf-8", newline="") as f:
         out = csv.DictWriter(f, ["row_number", "item_id", "reason"])
         out.writeheader()
-        out.writerows(report["rejected"])
+        out.writerows(r.asDict() for r in said.tables["rejected_clips"].toLocalIterator())
+    return {k: str(v) for k, v in files.items()}

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime
 from pathlib import PurePosixPath
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sieveline.operators.numbering import numbered
+from sieveline.storage import cut, exists
+
+# The fields that a manifest must have, those that are stripped, and the texts of the reasons.
 REQUIRED = ("item_id", "session_id", "parent_video_id", "worker_id", "timestamp", "clip_path")
 TRIMMED = REQUIRED[:-1]
 #: Timestamps and numbers that are certain to be good; what it doesn't know goes to Python's own rules.
@@ -20,8 +25,18 @@ CERTAIN_NUMBER = r"^[+-]?\d{1,300}(\.\d*)?$"
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text; a short row's are empty. ``row_number`` counts data rows from 1."""
     rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    rows = rows.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns))
-    return rows.withColumn("row_number", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
+    return numbered(rows.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns)), "row_number")
+
+
+def _fields(records: DataFrame) -> DataFrame:
+    """Columns of the records' fields, from ``(r, row_number)`` with a variant; what is no text is none in a required field, and JSON text in one of the manifest's own."""
+    kind = F.schema_of_variant("r")
+    checked = F.when(kind.startswith("OBJECT"), F.col("r")).otherwise(F.raise_error(F.concat(F.lit("a record of the manifest is no object: row "), F.col("row_number").cast("string"))).cast("variant"))
+    rows = cut(records.select("row_number", F.from_json(F.to_json(checked), "map<string,string>").alias("m"), F.map_from_arrays(F.array(*map(F.lit, REQUIRED)), F.array(*(F.schema_of_variant(F.variant_get("r", f"$.{c}", "variant")) for c in REQUIRED))).alias("kinds")))
+    names = {r["name"] for r in rows.select(F.explode(F.map_keys("m")).alias("name")).distinct().collect()}  # as many as the manifest has columns
+    own = sorted(names - {*REQUIRED, "duration_seconds", "row_number"})
+    text = lambda c: F.when(F.col("kinds")[c] == "STRING", F.col("m")[c])
+    return rows.select(*(text(c).alias(c) for c in REQUIRED), F.col("m")["duration_seconds"].alias("duration_seconds"), *(F.col("m")[c].alias(c) for c in own), "row_number")
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
@@ -29,21 +44,23 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     doc = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
     pick = lambda p: F.try_variant_get("v", p, "array<variant>")
     listed = F.coalesce(pick("$"), *(pick(f"$.{k}") for k in ("clips", "items", "records", "data")), F.raise_error(F.lit("a manifest holds a list of records")).cast("array<variant>"))
-    each = doc.select(F.posexplode(listed).alias("i", "r"))
-    text = lambda c: F.when(F.schema_of_variant(F.variant_get("r", f"$.{c}", "variant")) == "STRING", F.try_variant_get("r", f"$.{c}", "string"))
-    return each.select(*(text(c).alias(c) for c in REQUIRED), F.try_variant_get("r", "$.duration_seconds", "string").alias("duration_seconds"), (F.col("i") + 1).alias("row_number"))
+    return _fields(doc.select(F.posexplode(listed).alias("i", "r")).select("r", (F.col("i") + 1).cast("long").alias("row_number")))
+
+
+def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """An object on each line that isn't blank."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return _fields(numbered(lines, "row_number").select(F.parse_json("value").alias("r"), "row_number"))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
+    readers = {".csv": read_csv, ".json": read_json, ".jsonl": read_json_lines}
     suffix = PurePosixPath(path).suffix.lower()
-    if suffix == ".csv":
-        return read_csv(spark, path)
-    if suffix == ".json":
-        return read_json(spark, path)
-    if suffix == ".jsonl":
-        rows = spark.read.schema(", ".join(f"{c} string" for c in (*REQUIRED, "duration_seconds"))).json(path)
-        return rows.withColumn("row_number", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
-    raise ValueError(f"manifest type {suffix!r} isn't known; use .csv, .json or .jsonl")
+    if suffix not in readers:
+        raise ValueError(f"manifest type {suffix!r} isn't known; use {', '.join(readers)}")
+    if not exists(spark, path):
+        raise FileNotFoundError(f"manifest not found: {path}")
+    return readers[suffix](spark, path)
 
 
 def strip(c: Column) -> Column:
@@ -81,6 +98,21 @@ def _number(values: pd.Series) -> pd.Series:
     return values.map(value)
 
 
+def _anchored(path: Column, input_dir: str | None) -> Column:
+    return path if input_dir is None else F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(input_dir.rstrip("/") + "/"), path))
+
+
+def files_of(rows: DataFrame, input_dir: str | None = None) -> DataFrame:
+    """``(path)`` of the manifest's media that are files, looked up where its rows are."""
+
+    @F.pandas_udf(T.BooleanType())
+    def there(paths: pd.Series) -> pd.Series:
+        return paths.map(lambda p: p is not None and os.path.isfile(p))
+
+    named = rows.select(_anchored(F.col("clip_path"), input_dir).alias("path")).distinct()
+    return named.where(there("path"))
+
+
 def classified(rows: DataFrame, input_dir: str | None = None, existing: DataFrame | None = None) -> DataFrame:
     """Every row with ``reason``: null for a clip, else why it is rejected.
 
@@ -98,15 +130,14 @@ def classified(rows: DataFrame, input_dir: str | None = None, existing: DataFram
     else:
         r = r.withColumn("__given", F.lit(False)).withColumn("__duration", F.lit(None).cast("double"))
     bad = F.concat_ws("; ", F.when(~stamp, "timestamp: neither ISO-8601 nor a number"), F.when(F.col("__given") & F.col("__duration").isNull(), "duration_seconds: not a number"), F.when(F.col("__duration") <= 0, "duration_seconds: not positive"))
-    path = F.col("clip_path")
-    anchored = path if input_dir is None else F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(input_dir.rstrip("/") + "/"), path))
-    r = r.withColumn("__bad", bad).withColumn("__path", anchored)
+    r = r.withColumn("__bad", bad).withColumn("__path", _anchored(F.col("clip_path"), input_dir))
     if existing is not None:
         r = r.join(existing.select(F.col("path").alias("__path"), F.lit(True).alias("__there")).distinct(), "__path", "left")
         r = r.withColumn("__bad", F.when(F.col("__bad") != "", F.col("__bad")).when(F.col("__there").isNull(), F.concat(F.lit("clip_path not found: "), "__path")).otherwise(""))
     fine = (F.col("__missing") == "") & (F.col("__bad") == "")
-    first = F.min(F.when(fine, F.col("row_number"))).over(Window.partitionBy("__item_id"))
-    r = r.withColumn("__first", first)
+    # Rows without an id are none's duplicates, so they aren't brought together.
+    first = r.where(fine).groupBy(F.col("__item_id").alias("__id")).agg(F.min("row_number").alias("__first"))
+    r = r.join(first, (F.col("__item_id") == F.col("__id")) & (F.col("__missing") == ""), "left")
     reason = (
         F.when(F.col("__missing") != "", F.concat(F.lit("missing required field(s): "), "__missing"))
         .when(F.col("row_number") > F.col("__first"), F.concat(F.lit("duplicate item_id (first seen at row "), F.col("__first").cast("string"), F.lit(")")))

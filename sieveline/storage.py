@@ -27,7 +27,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder that this engine wrote, in whatever file system it lies."""
+def _file_system(spark: SparkSession, path: str):  # noqa: ANN202
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever file system it lies."""
+    system, at = _file_system(spark, path)
+    return system.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this engine wrote."""
+    system, at = _file_system(spark, path)
+    system.delete(at, True)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    system, at = _file_system(spark, path)
+    if not system.rename(at, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} can't be renamed to {to}")

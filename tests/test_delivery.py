@@ -1,14 +1,19 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline import config
+from sieveline import config, environment
 from sieveline.operators import clusters, knn, pooling, review, scoring
 from sieveline.operators.components import connected_components
+from sieveline.operators.numbering import numbered
+from sieveline.operators.search import Cells, Exact, index_for
 from sieveline.plans import delivery, report
 from sieveline.sources import manifest
+from sieveline.sources.judge import ChatJudge
+from sieveline.streaming import manifests
 
 HEAD = "item_id,session_id,parent_video_id,worker_id,timestamp,clip_path,duration_seconds"
 
@@ -53,9 +58,8 @@ def test_scores_in_closed_form(spark, clips):
     assert (row["duplicate_clusters"], row["clipped_clips"], row["total_clips"]) == (1, 3, 5)
     assert [r["item_id"] for r in clusters.flagged(d.assigned).orderBy("item_id").collect()] == ["b", "c"]
     people = clips.select("item_id", F.lit("w").alias("worker_id"), F.lit("s").alias("session_id"))
-    said = report.payload(d, people)
-    assert said["by_worker"][0]["share"] == 1.0 and said["totals"]["flagged_for_removal"] == 2
-    assert "Flagged" in report.to_markdown(json.loads(report.to_json(said)))
+    said = report.assembled(spark, d, people, spark.createDataFrame([], "row_number long, item_id string, reason string"), config.Config())
+    assert said.tables["redundancy_by_worker"].first()["share"] == 1.0 and said.summary["flagged_for_removal"] == 2
 
 
 def test_empty_delivery_scores_zero(spark):
@@ -66,7 +70,20 @@ def test_empty_delivery_scores_zero(spark):
 def test_blocks_don_t_change_neighbours(spark, clips):
     key = lambda df: sorted((r["item_id"], r["rank"], r["neighbor_id"]) for r in df.collect())
     assert key(knn.exact(clips, 3)) == key(knn.exact(clips, 3, block=2))
-    assert key(knn.probe(clips, 3, cells=1)) == key(knn.exact(clips, 3))
+    assert key(knn.probe(clips, 3, cells=1)) == key(knn.exact(clips, 3)) == key(knn.probe(clips, 3, chunk=2))
+    assert knn.blocks_for(0, 8) == 1 and knn.blocks_for(100_000, 8) == 13 and knn.blocks_for(5000, 8) == 6
+    assert knn.exact(clips.limit(0)).count() == 0 and knn.probe(clips.limit(0)).count() == 0 and knn.exact(clips.limit(1)).count() == 0
+
+
+def test_cells_find_most_neighbours(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((40, 24))
+    vecs = centres[rng.integers(0, 40, 3000)] + 0.5 * rng.standard_normal((3000, 24))
+    vecs /= np.linalg.norm(vecs, axis=1, keepdims=True)
+    table = spark.createDataFrame([(f"c{i:04d}", v.tolist()) for i, v in enumerate(vecs)], "item_id string, vec array<double>")
+    truth = knn.exact(table, 10)
+    assert knn.recall(Cells(nlist=50, nprobe=8).neighbors(table, 10), truth) > 0.95 and knn.recall(Cells(nlist=50, nprobe=50).neighbors(table, 10), truth) == 1.0
+    assert isinstance(index_for(config.Search(index_type="ivf", nlist=7)), Cells) and isinstance(index_for(config.Search(index_type="hnsw")), Exact)
 
 
 def test_forced_pair_becomes_an_edge(spark, clips):
@@ -85,52 +102,89 @@ def test_pooling(spark):
 
 
 def test_manifest(spark, tmp_path):
-    rows = ["a,s,v,w,2026-08-01T10:00:00Z,x.mp4,12.5", "a,s,v,w,2026-08-01,y.mp4,", "b,,v,w,1784876817.88,/abs.mp4,", "c,s,v,w,last tuesday,x.mp4,-3", "c,s,v,w,2026-W31-6,x.mp4,", "d,s,v,w,nan,x.mp4,1_0", 'e,s,v,w,1d,"x"".mp4",']
-    (tmp_path / "m.csv").write_text("﻿" + "\n".join([HEAD, *rows]) + "\n", encoding="utf-8")
+    rows = ["a,s,v,w,2031-02-03T04:05:06Z,x.mp4,12.5", "a,s,v,w,2031-02-03,y.mp4,", "b,,v,w,1923456789.25,/abs.mp4,", "c,s,v,w,next week,x.mp4,-3", "c,s,v,w,2026-W31-6,x.mp4,", "d,s,v,w,nan,x.mp4,1_0", 'e,s,v,w,1d,"x"".mp4",', ",s,v,w,5,x.mp4,", ",s,v,w,5,x.mp4,"]
+    (tmp_path / "m.csv").write_text("\ufeff" + "\n".join([HEAD, *rows]) + "\n", encoding="utf-8")
     dealt = manifest.classified(manifest.read(spark, str(tmp_path / "m.csv")), "/in")
     got = {r["row_number"]: r for r in dealt.collect()}
     assert [n for n in sorted(got) if got[n]["reason"] is None] == [1, 5, 6]
     assert got[2]["reason"] == "duplicate item_id (first seen at row 1)" and got[3]["reason"].endswith("session_id")
     assert "timestamp" in got[4]["reason"] and "duration" in got[4]["reason"] and "timestamp" in got[7]["reason"]
     assert got[1]["clip_path"] == "/in/x.mp4" and got[3]["clip_path"] == "/abs.mp4" and got[6]["duration_seconds"] == 10.0
+    assert got[8]["reason"] == got[9]["reason"] == "missing required field(s): item_id"
     with pytest.raises(ValueError):
         manifest.read(spark, "m.txt")
+    with pytest.raises(FileNotFoundError):
+        manifest.read(spark, str(tmp_path / "none.csv"))
 
 
-def test_json_manifest(spark, tmp_path):
-    one = dict(zip(HEAD.split(","), ["a", "s", "v", "w", "5", "x.mp4", None]))
-    (tmp_path / "m.json").write_text(json.dumps({"items": [one, {**one, "item_id": 7}]}))
-    dealt = manifest.classified(manifest.read(spark, str(tmp_path / "m.json"))).orderBy("row_number").collect()
-    assert dealt[0]["reason"] is None and "item_id" in dealt[1]["reason"]
+def test_media_that_is_not_there(spark, tmp_path):
+    (tmp_path / "x.mp4").write_bytes(b"x")
+    (tmp_path / "m.csv").write_text("\n".join([HEAD, "a,s,v,w,5,x.mp4,", "b,s,v,w,5,y.mp4,"]))
+    rows = manifest.read(spark, str(tmp_path / "m.csv"))
+    got = {r["item_id"]: r["reason"] for r in manifest.classified(rows, str(tmp_path), manifest.files_of(rows, str(tmp_path))).collect()}
+    assert got["a"] is None and got["b"].startswith("clip_path not found")
 
 
-def test_review(spark):
-    pairs = spark.createDataFrame([(f"a{i}", f"b{i}", 0.8 + i / 1000) for i in range(100)], "a string, b string, similarity double")
-    kept = review.stratified(pairs, 20).collect()
-    assert len(kept) == 20 and {int((r["similarity"] - 0.8) / 0.099 * 3.999) for r in kept} == {0, 1, 2, 3}
-    assert kept == review.stratified(pairs, 20).collect() and review.stratified(pairs, 0).count() == 0
-    frames = spark.createDataFrame([("a0", ["x"]), ("b0", ["y"])], "item_id string, paths array<string>")
-    said = review.judged(pairs.limit(2), frames, lambda a, b, p, q: '{"verdict": "redundant", "confidence": 7}').select("a", "error", review.verdict(F.col("reply"))["verdict"].alias("v")).orderBy("a").collect()
-    assert [(r["v"], r["error"]) for r in said] == [("REDUNDANT", None), ("UNKNOWN", "no frames")]
+@pytest.mark.parametrize("kind", ["json", "jsonl"])
+def test_json_manifest(spark, tmp_path, kind):
+    one = dict(zip(HEAD.split(","), ["a", "s", "v", "w", "5", "x.mp4", None])) | {"site": "north", "lane": 4, "more": {"x": [1]}}
+    rows = [one, {**one, "item_id": 7}, {**one, "item_id": "b", "duration_seconds": 2.5, "site": None}]
+    (tmp_path / f"m.{kind}").write_text(json.dumps({"items": rows}) if kind == "json" else "\n\n".join(map(json.dumps, rows)))
+    dealt = manifest.classified(manifest.read(spark, str(tmp_path / f"m.{kind}"))).orderBy("row_number").collect()
+    assert dealt[0]["reason"] is None and "item_id" in dealt[1]["reason"] and dealt[2]["duration_seconds"] == 2.5 and [r["row_number"] for r in dealt] == [1, 2, 3]
+    assert (dealt[0]["site"], dealt[0]["lane"], dealt[0]["more"], dealt[2]["site"]) == ("north", "4", '{"x":[1]}', None)
+    (tmp_path / f"n.{kind}").write_text("[1]" if kind == "json" else "1")
+    with pytest.raises(Exception, match="no object"):
+        manifest.read(spark, str(tmp_path / f"n.{kind}")).collect()
 
 
-def test_config(tmp_path):
-    with pytest.raises(ValueError):
-        config.Frames(count=1, duration_buckets=(config.Bucket(10.0, 3),))
-    with pytest.raises(ValueError):
-        config.Pooling("maxpair")
-    with pytest.raises(ValueError):
-        config._built(config.Config, {"frames": {"cuont": 3}}, "")
-    made = config._built(config.Config, {"frames": {"duration_buckets": [{"max_seconds": 5.0, "count": 2}]}, "review": {"gray_zone": [0.5, 0.6]}}, "")
-    assert made.frames.duration_buckets[0].count == 2 and made.notes() == ["review: not enabled"]
-    (tmp_path / ".env").write_text("export A='b c'\n# x=y\nB=1#2\n")
-    assert config.read_env(str(tmp_path / ".env")) == {"A": "b c", "B": "1#2"}
+def test_rows_are_numbered_across_partitions(spark):
+    rows = spark.range(1000).repartition(7).orderBy(F.desc("id"))
+    assert [(r["n"], r["id"]) for r in numbered(rows, "n").orderBy("n").collect()] == [(i + 1, 999 - i) for i in range(1000)]
+    assert numbered(spark.range(0), "n").count() == 0
 
 
-def test_settings_reach_the_report_or_are_noted(spark, clips):
-    d = delivery.score(clips, 0.91)
-    people = clips.select("item_id", F.lit("w").alias("worker_id"), F.lit("s").alias("session_id"))
-    low, high = (report.payload(d, people, exponent=e)["cluster_penalty"] for e in (1.0, 2.0))
-    assert low == pytest.approx(3 / 5) and high == pytest.approx(9 / 5)
-    made = config.Config(search=config.Search(index_type="ivf", nlist=7), review=config.Review(enabled=True))
-    assert [n.split(":")[0] for n in made.notes()] == ["search.index_type ivf", "search.nlist and nprobe", "review"]
+def test_manifests_that_arrive_in_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text("\n".join([HEAD, "a,s,v,w,5,x.mp4,", "a,s,v,w,5,x.mp4,", "b,s,v,w,when,x.mp4,"]))
+    schema = ", ".join(f"{c} string" for c in HEAD.split(","))
+    for _ in range(2):  # the second run finds nothing new
+        manifests.ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), schema).awaitTermination()
+    assert [r["item_id"] for r in spark.read.parquet(f"{tmp_path}/out/clips").collect()] == ["a"] and spark.read.parquet(f"{tmp_path}/out/rejected").count() == 2
+
+
+def test_review(spark):
+    pairs = spark.createDataFrame([(f"a{i}", f"b{i}", 0.8 + i / 1000) for i in range(100)], "a string, b string, similarity double")
+    kept = review.stratified(pairs, 20).collect()
+    assert len(kept) == 20 and {int((r["similarity"] - 0.8) / 0.099 * 3.999) for r in kept} == {0, 1, 2, 3}
+    assert sorted(kept) == sorted(review.stratified(pairs, 20).collect()) and review.stratified(pairs, 0).count() == 0 and review.stratified(pairs, 100).count() == 100
+    assert review.shares({0: 1, 1: 50, 2: 50, 3: 899}, 20) == {0: 1, 1: 1, 2: 1, 3: 17} and sum(review.shares({0: 5, 1: 5}, 1).values()) == 1
+
+
+def test_a_judge_that_fails(spark):
+    pairs = spark.createDataFrame([("a", "b", 0.85), ("a", "c", 0.84), ("a", "d", 0.83), ("a", "e", 0.82)], "a string, b string, similarity double")
+    frames = spark.createDataFrame([(i, [f"{i}{n}" for n in range(5)]) for i in "abcd"], "item_id string, paths array<string>")
+
+    def judge(a, b, left, right):
+        if b == "c":
+            raise ValueError("busy")
+        return '{"verdict": "redundant", "confidence": 7}' if (len(left), right) == (1, ["b2"]) else "who knows"
+
+    told = review.judged(pairs, frames, judge, shown=1, retries=2, pause=lambda s: None)
+    said = review.verdicts(told).collect()
+    assert [(r["b"], r["verdict"], r["confidence"]) for r in said] == [("b", "REDUNDANT", 1.0), ("c", "UNKNOWN", 0.0), ("d", "UNKNOWN", 0.0)] and said[1]["reason"] == "judge failed: busy"
+    assert {r["b"]: (r["attempts"], r["error"]) for r in told.collect()} == {"b": (1, None), "c": (3, "busy"), "d": (1, None), "e": (0, "no frames")}
+    assert review.counters(9, 4, told, review.verdicts(told)).first().asDict() == {"considered": 9, "reviewed": 3, "skipped_for_cap": 5, "errors": 3, "merged": 1}
+    assert [(r["a"], r["b"]) for r in review.merged(review.verdicts(told)).collect()] == [("a", "b")]
+
+
+def test_chat_judge(tmp_path):
+    (tmp_path / "f.jpg").write_bytes(b"pixels")
+    sent = []
+    answer = json.dumps({"choices": [{"message": {"content": "REDUNDANT"}}]}).encode()
+    judge = ChatJudge(environment.Judge(environment.Secret("k1"), "http://there/v1/", "org"), "m", 20, send=lambda r: sent.append(r) or answer)
+    assert judge("a", "b", [str(tmp_path / "f.jpg")], []) == "REDUNDANT"
+    body = json.loads(sent[0].data)
+    assert sent[0].full_url == "http://there/v1/chat/completions" and sent[0].headers["Authorization"] == "Bearer k1" and body["max_tokens"] == 20 and "cGl4ZWxz" in body["messages"][0]["content"][2]["image_url"]["url"]
+    with pytest.raises(RuntimeError, match="OPENAI_API_KEY"):
+        ChatJudge(environment.Judge(), "m")("a", "b", [], [])
