@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame
 from sieveline.llm.common import only, pieces_of
 
 #: Bytes that the pre-tokens a worker keeps may take up, with what Python needs for each beside its text.
-KEPT_BYTES, EACH = 48 << 20, 160
+KEPT_BYTES, EACH = 16 << 20, 160
 #: The id of a break between pre-tokens; no vocabulary has as many.
 BREAK = 0xFFFFFF
 #: Places of a bucket from which on array operations take less time.
 MANY = 48
 #: Bytes of the texts that are encoded at a time; a longer text is a slice of its own.
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Fixed value: the pattern whose matches never reach over a single space between two characters that aren't white space.
 SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: ASCII bytes that may be white space.
@@ -92,12 +92,19 @@ class RankQueue:
 
 
 def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The stretches of ``flat`` that begin at ``starts``, one behind the other."""
+    """The stretches of ``flat`` that begin at ``starts``, one behind the other; worked out for a million items at a time."""
     ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    at = np.repeat(starts - (ends - lengths), lengths)
-    at += np.arange(total)
-    return flat[at]
+    out = np.empty(int(ends[-1]) if len(ends) else 0, dtype=flat.dtype)
+    kind = np.int32 if len(flat) < 1 << 30 else np.int64
+    i = done = 0
+    while i < len(ends):
+        j = max(i + 1, int(np.searchsorted(ends, done + (1 << 20), "right")))
+        at = np.repeat((starts[i:j] - (ends[i:j] - lengths[i:j] - done)).astype(kind), lengths[i:j])
+        at += np.arange(len(at), dtype=kind)
+        out[done : done + len(at)] = flat[at]
+        done += len(at)
+        i = j
+    return out
 
 
 class Vocabulary:

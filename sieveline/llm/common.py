@@ -80,6 +80,7 @@ def groups_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Recor
         held = batch.slice(ends[-1])
     if held is not None and held.num_rows:
         yield held
+    release()
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

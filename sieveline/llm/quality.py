@@ -119,7 +119,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float, float], threshold: f
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(DIM, dtype=bool)
-        for part in pieces_of(batches, 1, 8 << 20):
+        for part in pieces_of(batches, 1, 2 << 20):
             texts = part.column(1).to_pylist()
             margin = np.array([_margin(active(t or "", held), *weights) for t in texts]) if weights.ndim == 2 else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sigmoid(slope * margin + intercept))], names=["doc_id", "score"])
@@ -140,13 +140,14 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, b
     stay alike. An empty table stays empty.
     """
     weights, slope, intercept = train(docs, labels, "quality", bound, id_col, text_col)
+    names = docs.columns
+    at = names.index(text_col)
 
-    @F.pandas_udf("double")
-    def score(texts):  # noqa: ANN001, ANN202
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(DIM, dtype=bool)
-        margin = np.array([_margin(active(t or "", held), *weights) for t in texts]) if weights.ndim == 2 else np.zeros(len(texts))
-        import pandas as pd
-
-        return pd.Series(sigmoid(slope * margin + intercept))
+        for part in pieces_of(batches, at, 2 << 20):
+            texts = part.column(at).to_pylist()
+            margin = np.array([_margin(active(t or "", held), *weights) for t in texts]) if weights.ndim == 2 else np.zeros(len(texts))
+            yield part.filter(pa.array(sigmoid(slope * margin + intercept) >= threshold))
 
-    return docs.where(score(F.col(f"`{text_col}`")) >= threshold)
+    return docs.mapInArrow(keep, docs.schema)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import SPACES, TO_LOWER, join_dealt, only, pieces_of
+from sieveline.llm.common import SPACES, TO_LOWER, join_dealt, only, pieces_of, release
 from sieveline.operators.components import connected_components
 from sieveline.storage import cut
 
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in pieces_of(batches, 1, 8 << 20):
+        for part in pieces_of(batches, 1, 2 << 20):
             fps = np.array([fingerprint(t, words) for t in part.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
@@ -111,6 +111,7 @@ def _cells(fps: DataFrame, radius: int, bands: int) -> DataFrame:
                                 [pa.array(np.full(n, band, np.int32)), pa.array(cell[legal]), pa.array(own[legal].view(np.int64)), pa.array(np.full(n, not move))],
                                 names=["band", "cell", "fp", "home"],
                             )
+        release()
 
     return fps.select("fp").mapInArrow(run, "band int, cell bigint, fp bigint, home boolean")
 
@@ -218,6 +219,8 @@ def links(fps: DataFrame, radius: int = 4, bands: int | None = None, chunk: int
             held = [rows]
         if held:
             yield from found(np.concatenate(held, axis=1))
+        held.clear()
+        release()
 
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint").distinct()
 

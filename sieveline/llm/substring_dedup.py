@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import SPACES, checked, fresh, pieces_of
+from sieveline.llm.common import SPACES, checked, fresh, pieces_of, release
 from sieveline.storage import cut
 
 REACH, LONGEST, MIN_WORDS = 3, 64, 25
@@ -103,7 +103,7 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
     """``(k, digest, place, extent)``: every window of every whole text. ``place`` holds where it begins in bytes and in words, ``extent`` how far it goes, 32 bits each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in pieces_of(batches, 1, 4 << 20):
+        for part in pieces_of(batches, 1, 1 << 20):
             out = []
             for k, text in zip(part.column(0).to_numpy(), part.column(1).to_pylist()):
                 own = _windows((text or "").encode("utf-8", "surrogatepass"), min_words)
@@ -134,6 +134,7 @@ def _with_runs(hits: DataFrame) -> DataFrame:
             words = (word + (extent & 0xFFFFFFFF))[last] - word[first]
             columns = [*own, np.repeat(words, last - first + 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.ListArray.from_arrays(pa.array(offsets), pa.array(c)) for c in columns)], names=["k", "place", "extent", "digest", "run"])
+        release()
 
     by_doc = hits.groupBy("k").agg(F.sort_array(F.collect_set(F.struct("place", "extent", "digest"))).alias("hits"))  # a set: equal rows are one document
     return by_doc.mapInArrow(run, "k bigint, place array<bigint>, extent array<bigint>, digest array<bigint>, run array<bigint>")
@@ -192,13 +193,14 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, within: bool = False,
     mine = keepers.groupBy("k").agg(F.collect_list("place").alias("kept"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [_lost(p, x, set(m or ()), min_words) for p, x, m in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)))]
+        for part in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
+            out = [_lost(p, x, set(m or ()), min_words) for p, x, m in zip(*(part.column(c).to_pylist() for c in (1, 2, 3)))]
             total, gone, spans = ([r[c] for r in out] for c in range(3))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("size", pa.int64())])))],
+                [part.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("size", pa.int64())])))],
                 names=["k", "repeated_words", "removed_words", "spans"],
             )
+        release()
 
     return held.select("k", "place", "extent").join(mine, "k", "left").mapInArrow(run, "k bigint, repeated_words bigint, removed_words bigint, spans array<struct<begin:bigint,size:bigint>>")
 
@@ -222,20 +224,25 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, within: bool =
     found = passages(docs, min_words, within, id_col, text_col).where(F.size("spans") > 0)
     k, spans = fresh(docs, "k"), fresh(docs, "spans")
 
-    @F.pandas_udf("string")
-    def rest(texts, spans):  # noqa: ANN001, ANN202
-        def one(text: str, own) -> str | None:  # noqa: ANN001
-            raw, kept, at = text.encode("utf-8", "surrogatepass"), [], 0
-            for s in own:
-                kept.append(raw[at : s["begin"]])
-                at = s["begin"] + s["size"]
-            left = b"".join([*kept, raw[at:]]).decode("utf-8", "surrogatepass")
-            return left if left.strip() else None
+    names = docs.columns
+    at = names.index(text_col)
+
+    def rest(text: str, own: list[dict]) -> str | None:
+        raw, kept, done = text.encode("utf-8", "surrogatepass"), [], 0
+        for s in own:
+            kept.append(raw[done : s["begin"]])
+            done = s["begin"] + s["size"]
+        left = b"".join([*kept, raw[done:]]).decode("utf-8", "surrogatepass")
+        return left if left.strip() else None
 
-        return texts.combine(spans, one)
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces_of(batches, at, 1 << 20):
+            *own, spans = part.columns
+            own[at] = pa.array(map(rest, own[at].to_pylist(), spans.to_pylist()), pa.string())
+            yield pa.RecordBatch.from_arrays(own, names=names).filter(own[at].is_valid())
 
     joined = docs.withColumn(k, key(id_col, text_col)).join(checked(found.select(F.col("k").alias(k), F.col("spans").alias(spans)), SPANNED), k, "left")
     own = [F.col(f"`{c}`") for c in docs.columns]
     whole = joined.where(F.col(spans).isNull()).select(*own)
-    changed = joined.where(F.col(spans).isNotNull()).withColumn(spans, rest(F.col(f"`{text_col}`"), F.col(spans))).where(F.col(spans).isNotNull())
-    return whole.unionByName(changed.select(*(F.col(spans).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns)))
+    changed = joined.where(F.col(spans).isNotNull()).select(*own, spans).mapInArrow(shorten, docs.schema)
+    return whole.unionByName(changed)
