@@ -16,7 +16,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sieveline.llm import bpe, decontamination, embedding_forest, license_scan, quality, simhash, substring_dedup, token_counts, toxicity, url_filters
+from sieveline.llm import bpe, decontamination, embedding_forest, labelled, license_scan, quality, simhash, substring_dedup, token_counts, toxicity, url_filters
 from sieveline.llm.common import held_out
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, k string, row string"
@@ -518,3 +518,116 @@ def test_embeddings_of_awkward_rows(spark):
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (2, [-0.0, 1.0], 2), (3, [0.0, 1.0], 2), (4, [0.0, 2.0], 2), (5, [], 2), (None, None, None)]
     got = sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"]), r["kept"]) for r in embedding_forest.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect())
     assert got == [("1", 2, "1", True), ("1", 2, "1", True), ("2", 2, "2", True), ("3", 2, "2", False), ("4", 2, "2", False), ("5", 0, "5", True), ("None", 0, "None", False), ("None", 2, "1", False)]
+
+
+def test_dual_coordinate_descent_reaches_the_optimum():
+    """The weights minimise the hinge loss with its ridge: against a plain subgradient method, and by the gap to the dual."""
+    rng = np.random.default_rng(24)
+    n, dims = 60, 30
+    rows = [np.sort(rng.choice(dims, rng.integers(3, 9), replace=False)).astype(np.int32) for _ in range(n)]
+    y = np.array([int(5 in r or rng.random() < 0.3) for r in rows])
+    calibrate = np.arange(n) % 5 == 0
+    use = np.flatnonzero(~calibrate)
+    weights, slope, _ = quality.fit(rows, y, calibrate, epochs=400)
+    p, q = np.ones(quality.DIM), np.ones(quality.DIM)
+    for i in use:
+        for f in rows[i]:
+            (p if y[i] else q)[f] += 1
+    ratio = np.log(p / p.sum()) - np.log(q / q.sum())
+    assert np.allclose(weights[1], ratio, atol=1e-5) and slope > 0
+    x = np.zeros((n, dims + 1))
+    for i, r in enumerate(rows):
+        x[i, r] = ratio[r] / np.linalg.norm(ratio[r])
+    x[:, dims] = 1
+    sign, cost = np.where(y == 1, 1.0, -1.0), np.where(y == 1, 0.5 / y[use].mean(), 0.5 / (1 - y[use].mean()))
+    loss = lambda w: 0.5 * w @ w + (cost[use] * np.maximum(0, 1 - sign[use] * (x[use] @ w))).sum()
+    w, best = np.zeros(dims + 1), np.inf
+    for t in range(1, 40000):
+        out = sign[use] * (x[use] @ w) < 1
+        w = w - (w - ((cost * sign)[use][out, None] * x[use][out]).sum(0)) / t
+        best = min(best, loss(w))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        own = np.where(ratio[:dims] != 0, weights[0][:dims] / ratio[:dims], 0.0)
+    bias = min((loss(np.append(own, b)), b) for b in np.linspace(-3, 3, 6001))[1]
+    assert loss(np.append(own, bias)) <= best * 1.002
+
+
+def test_features_of_quality_are_all_n_grams():
+    held = np.zeros(quality.DIM, dtype=bool)
+    text = "Ab 1.\tÉ" * 3
+    raw = text.encode()
+    want = {(int.from_bytes(raw[i : i + 3], "little") * 2654435761 % 2**32) >> 15 for i in range(len(raw) - 2)}
+    got = quality.active(text, held)
+    assert set(got[got < quality.BYTE_GRAMS].tolist()) == want and not held.any()
+    long = "xyz é " * 300_000  # longer than the parts that it is read in
+    assert set(quality.active(long, held).tolist()) >= set(quality.active("xyz é " * 3, held)[:-3].tolist()) - set(range(quality.EXTRA, quality.DIM))
+    assert not len(quality.active("", held))
+
+
+def test_trees_split_where_the_gain_is_largest():
+    rng = np.random.default_rng(25)
+    x = rng.integers(0, 12, (200, 4)).astype(float)
+    y = (x[:, 2] + rng.normal(0, 2, 200) > 6).astype(int)
+    model = toxicity.Trees(rounds=1, depth=1, least=0.0).fit(x, y)
+    p = y.mean()
+    g, h = p - y, np.full(200, p * (1 - p))
+
+    def gain(left):
+        part = lambda m: g[m].sum() ** 2 / (h[m].sum() + model.ridge)
+        return part(left) + part(~left) - part(np.ones(200, bool))
+
+    best = max(gain(x[:, j] < c) for j in range(4) for c in range(1, 12))
+    feature, cut, value = model.trees[0]
+    left = model._bin(x)[:, feature[0]] <= cut[0]
+    assert gain(left) == pytest.approx(best)
+    leaf = lambda m: -g[m].sum() / (h[m].sum() + model.ridge) * model.rate
+    assert np.allclose(model.predict(x), model.start + np.where(left, leaf(left), leaf(~left)))
+
+
+def test_isotonic_steps_against_min_max():
+    rng = np.random.default_rng(26)
+    x, y = np.round(rng.normal(size=80), 1), rng.integers(0, 2, 80)
+    at, value = labelled.isotonic(x, y)
+    xs = np.unique(x)
+    sums, counts = np.array([y[x == v].sum() for v in xs]), np.array([(x == v).sum() for v in xs])
+    mean = lambda i, j: sums[i : j + 1].sum() / counts[i : j + 1].sum()
+    want = [max(min(mean(i, j) for j in range(k, len(xs))) for i in range(k + 1)) for k in range(len(xs))]
+    block = np.searchsorted(at, xs, side="right") - 1
+    pooled = [sums[block == b].sum() / counts[block == b].sum() for b in range(len(at))]
+    assert np.allclose([pooled[b] for b in block], want) and (np.diff(value) >= 0).all()
+
+
+def test_training_rows_are_the_first_by_hash(spark):
+    rng = random.Random(27)
+    table = docs(spark, [(i, prose(rng, 5)) for i in range(3000)] + [(5, None), (None, "x")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)] + [(7, 1), (None, 1), (8, None)], "doc_id long, quality int")
+    drawn = sorted(tuple(r) for r in labelled.training_rows(table, labels, "quality", 200).collect())
+    ids = labels.where("doc_id is not null and quality is not null and crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").groupBy("doc_id").agg({"quality": "max"}).toDF("doc_id", "y")
+    first = ids.selectExpr("doc_id", "y", "xxhash64(doc_id) as h").orderBy("h", "doc_id").limit(200)
+    want = sorted((r["text"] or "", r["y"], r["part"]) for r in table.join(first, "doc_id").selectExpr("text", "y", "cast(pmod(xxhash64(doc_id, 1), 10L) as int) as part").collect())
+    assert drawn == want and len(drawn) >= 200
+
+
+def test_url_filters_of_awkward_rows(spark):
+    long = "http://a.example.org/es/" + "x/" * 40000 + "login?" + "p=1&" * 20000
+    rows = [(1, long), (1, long), (None, "HTTP://EXAMPLE.ORG/en/1"), (2, "://"), (3, "http://?q#f"), (4, "http://notexample.org/es/"), (5, "http://org"), (6, "http://fr.com/fr/de/")]
+    pages = spark.createDataFrame([(i, u, "clash", "clash") for i, u in rows], "page_id long, url string, host string, verdict string")
+    got = sorted((str(r["page_id"]), r["host"], r["path"][:8], r["rule"], r["verdict"]) for r in url_filters.judged(pages).collect())
+    assert got == sorted([("1", "a.example.org", "/es/x/x/", "example.org/es/", "block")] * 2 + [("None", "example.org", "/en/1", "example.org/en/1", "block"), ("2", "", "", None, "allow"), ("3", "", "", None, "allow"), ("4", "notexample.org", "/es/", "org/", "allow"), ("5", "org", "", None, "allow"), ("6", "fr.com", "/fr/de/", "com/fr/", "allow")])
+
+
+def test_features_of_very_long_texts_are_rates():
+    weights = {"stup": 3.0}
+    part = "You STUPID fool! i d i o t, h*te. "
+    one, many = (toxicity.features(part * n, weights, frozenset(["stup"])) for n in (1, 5000))
+    assert [round(a, 2) for i, a in enumerate(one) if i in (0, 2, 5, 9, 11, 13)] == [round(a, 2) for i, a in enumerate(many) if i in (0, 2, 5, 9, 11, 13)]
+
+
+def test_leaks_of_equal_items_and_of_a_radius(spark):
+    rng = random.Random(28)
+    item = prose(rng, 30)
+    bench = spark.createDataFrame([(1, item), (1, item), (2, item), (None, item)], "item_id long, text string")
+    got = sorted((str(r["doc_id"]), str(r["item_id"])) for r in decontamination.leaks(docs(spark, [(1, item), (1, item), (None, item)]), bench).collect())
+    assert got == sorted((d, i) for d in ("1", "None") for i in ("1", "2", "None"))
+    near = item.split()[:-1] + ["other"]
+    assert decontamination.leaks(docs(spark, [(1, " ".join(near))]), bench, radius=0).count() == 0
