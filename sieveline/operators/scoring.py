@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.functions.vectors import novelty
+from sieveline.storage import cut
 
 
 def clip_scores(nearest: DataFrame, assigned: DataFrame) -> DataFrame:
@@ -29,7 +30,7 @@ def summary(scores: DataFrame, assigned: DataFrame, max_points: float = 15.0, ex
 def redundancy_by(scores: DataFrame, manifest: DataFrame, attribute: str) -> DataFrame:
     """``(key, clips, clustered_clips, mean_novelty, redundancy_rate, share)`` per value of ``attribute``."""
     rows = scores.join(manifest.select("item_id", F.col(attribute).cast("string").alias("key")), "item_id")
-    groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("clips"), F.count_if(F.col("cluster_size") > 1).alias("clustered_clips"), F.avg("novelty").alias("mean_novelty"))
-    total = F.sum("clustered_clips").over(Window.partitionBy())  # over groups, not clips
-    share = F.when(total > 0, F.col("clustered_clips") / total).otherwise(0.0)
+    groups = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("clips"), F.count_if(F.col("cluster_size") > 1).alias("clustered_clips"), F.avg("novelty").alias("mean_novelty")))
+    total = groups.agg(F.sum("clustered_clips")).first()[0]
+    share = F.col("clustered_clips") / F.lit(total) if total else F.lit(0.0)
     return groups.select("key", "clips", "clustered_clips", "mean_novelty", (F.col("clustered_clips") / F.col("clips")).alias("redundancy_rate"), share.alias("share"))
