@@ -3,7 +3,8 @@
 Each round joins every node's neighbours to the smallest of them, first among the
 larger neighbours, then among the smaller ones, until the edges are stars. Nothing is
 collected: a round is two aggregations and two joins, and its edges are written to the
-shared checkpoint folder. A chain of n nodes takes O(log n) rounds.
+shared checkpoint folder. A chain of n nodes takes O(log n) rounds. The hub of a large
+component has most of its edges at last; edges of such hubs aren't shuffled to one task.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.operators.joins import join_dealt
 from sieveline.storage import cut
 
 
@@ -20,17 +22,23 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, total: int) -> DataFrame:
+    """``edges`` with ``m``, the smallest of ``a`` and all its ``b``."""
+    least = cut(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count(F.lit(1)).alias("n")))
+    return join_dealt(edges, least, "a", "n", total)
+
+
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return _with_least(both, 2 * n).where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    found = _with_least(down, n)
+    # The node itself takes the edge to the smallest, its other neighbours follow.
+    ends = F.explode(F.array(F.col("a"), F.col("b"))).alias("a")
+    return found.select(ends, F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -43,7 +51,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     now = cut(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = _signature(now)
     while before[0]:
-        now = cut(_small_star(_large_star(now)))
+        now = cut(_small_star(cut(_large_star(now, before[0])), before[0]))
         after = _signature(now)
         if after == before:
             break

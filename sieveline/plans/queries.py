@@ -72,7 +72,7 @@ def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         pick((89, 7, "''"), other="concat('s', user_id % 7)").alias("session_id"),
         F.concat(F.lit("v"), F.col("user_id").cast("string")).alias("parent_video_id"),
         pick((83, 2, "null"), other="concat('w', user_id % 20)").alias("worker_id"),
-        pick((13, 4, "'last tuesday'"), (17, 4, "concat('17848', event_id, '.5')"), other="'2026-08-01T10:00:00Z'").alias("timestamp"),
+        pick((13, 4, "'next monday'"), (17, 4, "concat('19234', event_id, '.5')"), other="'2031-05-06T07:08:09Z'").alias("timestamp"),
         F.concat(F.lit("clips/"), F.col("event_id").cast("string"), F.lit(".mp4")).alias("clip_path"),
         pick((19, 6, "'-3'"), (23, 6, "' '"), (29, 6, "'12.5'"), other="''").alias("duration_seconds"),
     )
@@ -415,12 +415,12 @@ d AS (SELECT event_id + 1 AS row_number,
   CASE WHEN event_id % 97 = 5 THEN '  ' WHEN event_id % 11 = 3 THEN ' item_' || (event_id - 1) || ' ' ELSE 'item_' || event_id END AS item_id,
   CASE WHEN event_id % 89 = 7 THEN '' ELSE 's' || (user_id % 7) END AS session_id,
   CASE WHEN event_id % 83 = 2 THEN NULL ELSE 'w' || (user_id % 20) END AS worker_id,
-  CASE WHEN event_id % 13 = 4 THEN 'last tuesday' WHEN event_id % 17 = 4 THEN '17848' || event_id || '.5' ELSE '2026-08-01T10:00:00Z' END AS timestamp,
+  CASE WHEN event_id % 13 = 4 THEN 'next monday' WHEN event_id % 17 = 4 THEN '19234' || event_id || '.5' ELSE '2031-05-06T07:08:09Z' END AS timestamp,
   '/media/clips/' || event_id || '.mp4' AS clip_path,
   CASE WHEN event_id % 19 = 6 THEN '-3' WHEN event_id % 23 = 6 THEN ' ' WHEN event_id % 29 = 6 THEN '12.5' ELSE '' END AS duration FROM events),
 c AS (SELECT row_number, trim(item_id) AS item_id, worker_id, timestamp, clip_path, CASE WHEN trim(duration) <> '' THEN duration::DOUBLE END AS duration_seconds,
   concat_ws(', ', CASE WHEN trim(item_id) = '' THEN 'item_id' END, CASE WHEN session_id = '' THEN 'session_id' END, CASE WHEN worker_id IS NULL THEN 'worker_id' END) AS missing,
-  concat_ws('; ', CASE WHEN timestamp = 'last tuesday' THEN 'timestamp: neither ISO-8601 nor a number' END, CASE WHEN trim(duration) <> '' AND duration::DOUBLE <= 0 THEN 'duration_seconds: not positive' END) AS bad FROM d),
+  concat_ws('; ', CASE WHEN timestamp = 'next monday' THEN 'timestamp: neither ISO-8601 nor a number' END, CASE WHEN trim(duration) <> '' AND duration::DOUBLE <= 0 THEN 'duration_seconds: not positive' END) AS bad FROM d),
 f AS (SELECT *, min(CASE WHEN missing = '' AND bad = '' THEN row_number END) OVER (PARTITION BY item_id) AS first FROM c),
 r AS (SELECT *, CASE WHEN missing <> '' THEN 'missing required field(s): ' || missing WHEN row_number > first THEN 'duplicate item_id (first seen at row ' || first || ')' WHEN bad <> '' THEN bad END AS reason FROM f)"""
 
