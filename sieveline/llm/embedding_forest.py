@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import groups_of, join_dealt, only
+from sieveline.llm.common import groups_of, only
 from sieveline.operators.components import connected_components
+from sieveline.operators.joins import join_dealt
 from sieveline.storage import cut
 
 THRESHOLD, TREES = 0.98, 6

@@ -27,8 +27,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import SPACES, TO_LOWER, join_dealt, only, pieces_of, release
+from sieveline.llm.common import SPACES, TO_LOWER, only, pieces_of, release
 from sieveline.operators.components import connected_components
+from sieveline.operators.joins import join_dealt
 from sieveline.storage import cut
 
 SEED = 42
