@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import tempfile
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -18,6 +20,7 @@ from sieveline.operators.numbering import numbered
 from sieveline.operators.search import Cells
 from sieveline.plans import delivery, report
 from sieveline.sources import embedding, manifest
+from sieveline.sources import frames as media
 from sieveline.storage import cut, rename, shared_folder
 
 K, THRESHOLD, LOW, FLAG = 10, 0.40, 0.35, 3
@@ -375,6 +378,49 @@ def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([("".join(report._json_parts(said, {"enabled": False}, {}, "")),)], "payload string")
 
 
+def report_json_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The duplicate clusters that the JSON report tells of, read from it."""
+    schema = "duplicate_clusters array<struct<cluster_id: int, size: bigint, max_similarity: double, flagged: boolean, members: array<string>>>"
+    rows = report_payload(spark, sf_dir).select(F.explode(F.from_json("payload", schema)["duplicate_clusters"]).alias("c")).select("c.*")
+    return rows.select("cluster_id", "size", F.round("max_similarity", 4).alias("max_similarity"), "flagged", F.array_join("members", " ").alias("members"))
+
+
+def rejected_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected rows as the run writes them, read back."""
+    with tempfile.TemporaryDirectory() as folder:
+        at = report.written(_assembled(spark, sf_dir), folder)["rejected_csv"]
+        with open(at, encoding="utf-8", newline="") as f:
+            rows = [(int(r["row_number"]), r["item_id"], r["reason"]) for r in csv.DictReader(f)]
+    return spark.createDataFrame(rows, "row_number long, item_id string, reason string")
+
+
+def unclean_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sessions that the Markdown report shows: those with clustered clips."""
+    return redundancy_by_session(spark, sf_dir).where("clustered_clips > 0").select("key", "clustered_clips")
+
+
+def empty_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = delivery.score(_clips(spark, sf_dir).limit(0), THRESHOLD, K)
+    return scoring.summary(d.scores, d.assigned)
+
+
+def lone_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delivery.score(_clips(spark, sf_dir).where("item_id = 'clip_000007'"), THRESHOLD, K).scores
+
+
+def survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips whose frames were taken without an error."""
+    clips = _table(spark, sf_dir, "embeddings").select(_item("vec_id").alias("item_id"), "vec_id")
+    paths = F.when(F.col("vec_id") % 4 != 0, F.array(F.concat(F.lit("f"), F.col("vec_id").cast("string")))).otherwise(F.array().cast("array<string>"))
+    frames = clips.select("item_id", paths.alias("paths"), F.lit(False).alias("reused"), F.when(F.col("vec_id") % 6 == 0, "no frame").alias("error"))
+    return clips.join(media.usable(frames), "item_id", "left_semi").select("item_id")
+
+
+def data_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").where("text is not null")
+    return docs.select("doc_id", F.element_at(media.encoded(F.array(F.col("text").cast("binary"))), 1).alias("url"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         diversity_score, ingest_valid, ingest_rejected, ingest_counts, l2_normalized, mean_pool, single_frame_pool, max_frame_pair, knn_topk, nearest_neighbor, clip_scores,
@@ -382,6 +428,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         forced_merge_recluster, stratified_sample, frames_for_duration, sample_offsets, representative_frames, verdict_parse, stub_embed_documents,
         document_delivery_score, knn_probe, knn_default_cells, diversity_score_exponents, review_bands, review_verdicts, review_counters, manifest_csv, manifest_json, manifest_json_lines,
         row_ordinals, seek_ladder, safe_ids, report_summary, report_clusters, report_members, report_clip_scores, orderings, report_payload,
+        report_json_clusters, rejected_csv, unclean_groups, empty_delivery, lone_clip, survivors, data_urls,
     )
     return {f.__name__: f for f in own}
 
@@ -551,5 +598,14 @@ UNION ALL SELECT 'workers', row_number() OVER (ORDER BY c DESC, r DESC, key), ke
 UNION ALL SELECT 'clusters', row_number() OVER (ORDER BY size DESC, component), component FROM assigned WHERE size > 1 AND item_id = component
 UNION ALL SELECT 'flagged', row_number() OVER (ORDER BY item_id), item_id FROM assigned WHERE size >= {FLAG} AND item_id <> component""",
     }
+    out["report_json_clusters"] = f"""{graph}, inside AS (SELECT component, max(similarity) AS top FROM edges JOIN comp ON comp.item_id = edges.a GROUP BY 1),
+listed AS (SELECT component, size, string_agg(item_id, ' ' ORDER BY item_id) AS members FROM assigned WHERE size > 1 GROUP BY 1, 2)
+SELECT (row_number() OVER (ORDER BY size DESC, component) - 1)::INT AS cluster_id, size, round(top, 4) AS max_similarity, size >= {FLAG} AS flagged, members FROM listed JOIN inside USING (component)"""
+    out["rejected_csv"] = out["ingest_rejected"]
+    out["unclean_groups"] = f"SELECT key, clustered_clips FROM ({out['redundancy_by_session']}) WHERE clustered_clips > 0"
+    out["empty_delivery"] = "SELECT 0.0::DOUBLE AS score, 0.0::DOUBLE AS avg_novelty, 0.0::DOUBLE AS cluster_penalty, 0::BIGINT AS total_clips, 0::BIGINT AS duplicate_clusters, 0::BIGINT AS clipped_clips"
+    out["lone_clip"] = "SELECT 'clip_000007' AS item_id, 1.0::DOUBLE AS novelty, 0.0::DOUBLE AS max_similarity, NULL::VARCHAR AS nearest_item_id, 1::BIGINT AS cluster_size"
+    out["survivors"] = "SELECT format('clip_{:06d}', vec_id) AS item_id FROM embeddings WHERE vec_id % 4 <> 0 AND vec_id % 6 <> 0"
+    out["data_urls"] = "SELECT doc_id, 'data:image/jpeg;base64,' || base64(encode(text)) AS url FROM documents WHERE text IS NOT NULL"
     out |= dict.fromkeys(("manifest_csv", "manifest_json", "manifest_json_lines"), out["ingest_valid"])
     return out

@@ -133,7 +133,7 @@ def usable(frames: DataFrame) -> DataFrame:
 
 def encoded(contents: Column) -> Column:
     """``data:`` URLs of an array of image files' contents, in base64, as a model that judges pairs takes them."""
-    return F.transform(contents, lambda x: F.concat(F.lit("data:image/jpeg;base64,"), F.base64(x)))
+    return F.transform(contents, lambda x: F.concat(F.lit("data:image/jpeg;base64,"), F.translate(F.base64(x), "\r\n", "")))  # without line ends
 
 
 def thumbnails(clusters: DataFrame, frames: DataFrame, folder: str) -> DataFrame:
