@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from sieveline.llm import bpe, decontamination, embedding_forest, labelled, license_scan, quality, simhash, substring_dedup, token_counts, toxicity, url_filters
 from sieveline.llm.common import held_out
+from sieveline.operators import joins
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, k string, row string"
 WORDS = [a + b for a in "ba ce di fo gu ha je ki lo mu".split() for b in "r st n th l ng d m x".split()]
@@ -631,3 +632,32 @@ def test_leaks_of_equal_items_and_of_a_radius(spark):
     assert got == sorted((d, i) for d in ("1", "None") for i in ("1", "2", "None"))
     near = item.split()[:-1] + ["other"]
     assert decontamination.leaks(docs(spark, [(1, " ".join(near))]), bench, radius=0).count() == 0
+
+
+@pytest.mark.parametrize("heavy", [10_000, 2])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, heavy):
+    """Chains and stars of texts with few words changed, and many copies of one, against every pair of fingerprints."""
+    monkeypatch.setattr(joins, "HEAVY", heavy)
+    rng = random.Random(29)
+    rows = []
+    for _ in range(25):
+        words = prose(rng, 150).split()
+        for _ in range(rng.randint(1, 8)):
+            rows.append((rng.randrange(10**6), " ".join(words)))
+            words[rng.randrange(150)] = rng.choice(WORDS)
+    rows += [(10**6 + i, rows[0][1]) for i in range(40)]
+    got = {r["doc_id"]: r for r in simhash.near_duplicates(docs(spark, rows)).collect()}
+    fps = {i: simhash.fingerprint(t) for i, t in rows}
+    top = {i: i for i in fps}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a in fps:
+        for b in fps:
+            if (fps[a] ^ fps[b]).bit_count() <= 4 and find(a) != find(b):
+                top[max(find(a), find(b))] = min(find(a), find(b))
+    assert {i: (r["fingerprint"], r["component_id"]) for i, r in got.items()} == {i: (f"{fps[i]:016x}", find(i)) for i in fps}
+    assert 3 < len({find(i) for i in fps}) < len(fps) - 40
