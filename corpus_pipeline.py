@@ -11,6 +11,10 @@ from sieveline.shipping import ship
 from sieveline.storage import cut, remove, shared_folder
 
 
+#: Bytes of a slice, and of what a worker keeps, in the last stage: it shares the executors' memory with what other stages left.
+SLICE, KEPT_BYTES = 2 << 20, 24 << 20
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the rows that the classifier rejects, by their texts alone; a null text counts as empty. Repeated rows and null ids change nothing."""
     ship(spark)
@@ -58,7 +62,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ship(spark)
-    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, slice_bytes=SLICE, kept_bytes=KEPT_BYTES)
 
 
 STAGES = [
