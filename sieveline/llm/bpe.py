@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame
 from sieveline.llm.common import only, pieces_of
 
 #: Bytes that the pre-tokens a worker keeps may take up, with what Python needs for each beside its text.
-KEPT_BYTES, EACH = 16 << 20, 160
+KEPT_BYTES, EACH = 64 << 20, 160
 #: The id of a break between pre-tokens; no vocabulary has as many.
 BREAK = 0xFFFFFF
 #: Places of a bucket from which on array operations take less time.
 MANY = 48
 #: Bytes of the texts that are encoded at a time; a longer text is a slice of its own.
-SLICE = 1 << 20
+SLICE = 8 << 20
 #: Fixed value: the pattern whose matches never reach over a single space between two characters that aren't white space.
 SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: ASCII bytes that may be white space.
@@ -175,19 +175,18 @@ class Vocabulary:
         views = tuple(map(memoryview, every))
         while (found := queue.pop()) is not None:
             rank, places = found
-            if len(places) >= MANY and rank not in self.falling:
-                self._merge_many(queue, rank, places, *every)
-            else:
+            if len(places) < MANY or not self._merge_many(queue, rank, places, *every):
                 self._merge_few(queue, rank, places, *views)
         kept = inside & (ranked[:size] != -2)
         return ids[:size][kept].astype(np.uint32), np.add.reduceat(kept, ends - lengths, dtype=np.int64)
 
-    def _merge_many(self, queue: RankQueue, rank: int, places: list[int], ids: np.ndarray, ranked: np.ndarray, after: np.ndarray, before: np.ndarray) -> None:
+    def _merge_many(self, queue: RankQueue, rank: int, places: list[int], ids: np.ndarray, ranked: np.ndarray, after: np.ndarray, before: np.ndarray) -> bool:
+        """Merges the places at once; not if that leads to a merge that comes before the rest of them."""
         i = np.array(places, dtype=np.int32)
         i.sort()
         i = i[ranked[i] == rank]
         if not len(i):
-            return
+            return True
         follows = np.append(False, (after[i[:-1]] == i[1:]) | (i[:-1] == i[1:]))
         if follows.any():
             # Of places that overlap in a row, and of a place that is listed twice, the first is merged.
@@ -197,6 +196,13 @@ class Vocabulary:
             i = i[(np.arange(len(i)) - row) % 2 == 0]
         j = after[i]
         k = after[j]
+        if rank in self.falling:
+            h = before[i]
+            left_ids = ids[h].astype(np.int64)
+            left_ids[1:][h[1:] == j[:-1]] = rank  # the place before is merged first
+            met = np.concatenate([self._ranks_of(rank << 24 | ids[k].astype(np.int64)), self._ranks_of(left_ids << 24 | rank)])
+            if ((met >= 0) & (met < rank)).any():
+                return False
         ids[i] = rank
         ranked[j] = -2
         after[i] = k
@@ -209,6 +215,7 @@ class Vocabulary:
         r, p = np.concatenate([right, left]), np.concatenate([i, h])
         new = r >= 0
         queue.put_all(r[new], p[new])
+        return True
 
     def _merge_few(self, queue: RankQueue, rank: int, places: list[int], ids, ranked, after, before) -> None:  # noqa: ANN001
         find, buckets, put = self.merges.get, queue.buckets, queue.put
@@ -298,7 +305,7 @@ class Vocabulary:
         coded = pieces.dictionary_encode()
         words, first, n_words = self._words(coded.dictionary.to_pylist())
         named = pa.array(words, pa.string()).dictionary_encode()
-        slots = self._slots([w.encode() for w in named.dictionary.to_pylist()])[named.indices.to_numpy()]
+        slots = self._slots(named.dictionary.cast(pa.binary()).to_pylist())[named.indices.to_numpy()]
         count = self.count[slots]
         ids = gathered(self.ids, self.begin[slots], count)
         upto = np.append(0, np.cumsum(count))
