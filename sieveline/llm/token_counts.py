@@ -1,9 +1,11 @@
 """Token counts of whole texts with a public tokenizer's own library.
 
 Arrow functions encode in batches and return lengths only. Batches are balanced by
-bytes. With a byte-level tokenizer a long text is split before single spaces between two
+bytes. With a byte-level tokenizer texts are split before single spaces between two
 characters that aren't white space: no token reaches over such a place, so the lengths of
-the parts add up. Nothing is kept from one batch to the next but what the library keeps.
+the parts add up. Arrow finds the distinct parts of a slice of texts, and the library encodes
+each of them once. Nothing is kept from one slice to the next but what the library keeps.
+With other tokenizers texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from pyspark.sql import DataFrame
 from sieveline.llm.bpe import cut_safely
 from sieveline.llm.common import only, pieces_of
 
-#: Bytes of a batch, and of a part of a long text.
-BATCH, LONG = 1 << 20, 1 << 17
+#: Bytes of a slice of texts, and of a batch for the library.
+SLICE, BATCH = 8 << 20, 1 << 18
 
 
 class Counter:
@@ -50,26 +52,26 @@ class Counter:
         safe = not said.get("normalizer") and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and plain
         return lambda texts: [len(x) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], bool(safe)
 
-    def count(self, texts: pa.Array, long: int = LONG) -> np.ndarray:
+    def count(self, texts: pa.Array) -> np.ndarray:
         """The number of tokens of each text; of a null one 0."""
-        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        parts: list[str] = []
-        of: list[int] = []
-        for i, (text, size) in enumerate(zip(texts.to_pylist(), sizes.tolist())):
-            own = _parts(text, long) if self.splits and size > long else [text] if text else []
-            parts += own
-            of += [i] * len(own)
-        return np.bincount(np.array(of, dtype=np.int64), np.array(self.encode(parts), dtype=np.float64), len(texts)).astype(np.int64) if parts else np.zeros(len(texts), dtype=np.int64)
-
-
-def _parts(text: str, long: int) -> list[str]:
-    """The text in parts of about ``long`` bytes, cut at safe places alone; where there is none a part is longer."""
-    pieces, _ = cut_safely(pa.array([text]))
-    ends = np.cumsum(pc.binary_length(pieces).to_numpy())
-    last = np.flatnonzero(np.append(ends[1:] // long != ends[:-1] // long, True))
-    raw = text.encode()
-    cuts = [0, *ends[last].tolist()]
-    return [raw[i:j].decode() for i, j in zip(cuts, cuts[1:])]
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        parts, of = cut_safely(texts, self.splits)  # without safe places a part is a text
+        coded = parts.dictionary_encode()
+        lengths = np.zeros(len(coded.dictionary), dtype=np.int64)
+        for begin, batch in _batches(coded.dictionary, BATCH):
+            lengths[begin : begin + len(batch)] = self.encode(batch)
+        return np.bincount(of, lengths[coded.indices.to_numpy()], len(texts)).astype(np.int64)
+
+
+def _batches(texts: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
+    """Neighbouring texts of about ``most`` bytes, and the number of the first; a longer text is alone."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy())
+    begin = 0
+    while begin < len(texts):
+        done = ends[begin - 1] if begin else 0
+        upto = max(begin + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield begin, texts[begin:upto].to_pylist()
+        begin = upto
 
 
 _LOADED: dict[str, Counter] = {}
@@ -81,7 +83,7 @@ def counter(path: str) -> Counter:
     return _LOADED[path]
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = BATCH) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE) -> DataFrame:
     """``(doc_id, n_bytes, n_tokens, over_limit)`` of every row.
 
     A null text counts as empty: no bytes, no tokens. Repeated rows stay repeated; an empty
