@@ -141,7 +141,7 @@ def test_embeddings_match_brute_force(spark):
     assert embedding_forest.near_duplicates(none).count() == 0
 
 
-def test_token_counts(spark, awkward, empty):
+def test_token_counts(spark, awkward, empty, monkeypatch):
     path = public_tokenizers.path("byte_bpe_50k.json")
     own = Tokenizer.from_file(path)
     got = token_counts.token_counts(awkward, path).collect()
@@ -150,8 +150,11 @@ def test_token_counts(spark, awkward, empty):
     assert token_counts.token_counts(empty, path).count() == 0
     rng = random.Random(15)
     texts = [prose(rng, 4000), "x" * 9000, prose(rng, 900) + "é\u3000 a\u00a0 b \n c “d” e" * 50 + "<|endoftext|> a <|endoftext|>", None, "漢字" * 3000]
-    counted = token_counts.Counter(path).count(pa.array(texts), long=500)
-    assert counted.tolist() == [len(own.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    for batch in (token_counts.BATCH, 40):
+        monkeypatch.setattr(token_counts, "BATCH", batch)
+        counted = token_counts.Counter(path).count(pa.array(texts))
+        assert counted.tolist() == [len(own.encode(t or "", add_special_tokens=False).ids) for t in texts]
+        assert token_counts.Counter(path).count(pa.array([None, ""], pa.string())).tolist() == [0, 0]
     assert token_counts.token_counts(awkward, public_tokenizers.path("piece_bpe_32k.model")).count() == 10
 
 
@@ -185,8 +188,10 @@ def test_bpe_is_the_library_s(spark, awkward, empty, monkeypatch):
         assert r["ids"] == library.encode_ordinary(r["text"] or "") and bytes(r["decoded"]).decode() == (r["text"] or "")
 
 
-def test_bpe_of_ranks_that_fall():
+@pytest.mark.parametrize("many", [1, 48])
+def test_bpe_of_ranks_that_fall(monkeypatch, many):
     """Merges whose result has a lower rank than their parts, against the lowest rank first, from the left."""
+    monkeypatch.setattr(bpe, "MANY", many)
     rng = random.Random(16)
     for _ in range(30):
         texts = {bytes([i]) for i in range(256)} | {bytes(rng.choice(b"abc") for _ in range(rng.randint(2, 4))) for _ in range(25)}
