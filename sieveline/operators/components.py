@@ -16,6 +16,10 @@ from sieveline.operators.joins import join_dealt
 from sieveline.storage import cut
 
 
+#: Up to so many edges, one task may have all of them, and joins are left as they are.
+FEW = 10_000
+
+
 def _signature(edges: DataFrame) -> tuple:
     mixed = F.xxhash64("a", "b")
     row = edges.agg(F.count(F.lit(1)), F.bit_xor(mixed), F.sum(F.shiftright(mixed, 20))).first()
@@ -24,8 +28,8 @@ def _signature(edges: DataFrame) -> tuple:
 
 def _with_least(edges: DataFrame, total: int) -> DataFrame:
     """``edges`` with ``m``, the smallest of ``a`` and all its ``b``."""
-    least = cut(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count(F.lit(1)).alias("n")))
-    return join_dealt(edges, least, "a", "n", total)
+    least = edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return edges.join(least.drop("n"), "a") if total <= FEW else join_dealt(edges, cut(least), "a", "n", total)
 
 
 def _large_star(edges: DataFrame, n: int) -> DataFrame:
@@ -51,7 +55,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     now = cut(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = _signature(now)
     while before[0]:
-        now = cut(_small_star(cut(_large_star(now, before[0])), before[0]))
+        large = _large_star(now, before[0])
+        now = cut(_small_star(large if before[0] <= FEW else cut(large), before[0]))
         after = _signature(now)
         if after == before:
             break

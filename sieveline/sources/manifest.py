@@ -136,6 +136,7 @@ def classified(rows: DataFrame, input_dir: str | None = None, existing: DataFram
         r = r.withColumn("__bad", F.when(F.col("__bad") != "", F.col("__bad")).when(F.col("__there").isNull(), F.concat(F.lit("clip_path not found: "), "__path")).otherwise(""))
     fine = (F.col("__missing") == "") & (F.col("__bad") == "")
     # Rows without an id are none's duplicates, so they aren't brought together.
+    r = cut(r)
     first = r.where(fine).groupBy(F.col("__item_id").alias("__id")).agg(F.min("row_number").alias("__first"))
     r = r.join(first, (F.col("__item_id") == F.col("__id")) & (F.col("__missing") == ""), "left")
     reason = (
