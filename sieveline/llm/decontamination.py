@@ -89,12 +89,9 @@ def _blocks(fp: Column, flips: int) -> Column:
     """``(block, value)`` of each block, and of each value within ``flips`` flipped bits of it."""
     masks = [sum(1 << b for b in bits) for n in range(flips + 1) for bits in combinations(range(BLOCK_BITS), n)]
     every = F.array(*(F.lit(m).cast("long") for m in masks))
-    one = lambda i: F.call_function("shiftrightunsigned", fp, F.lit(i * BLOCK_BITS)).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
-
-    def entered(i: int) -> Column:
-        return F.transform(every, lambda m: F.struct(F.lit(i).alias("block"), one(i).bitwiseXOR(m).alias("value")))
-
-    return F.flatten(F.array(*map(entered, range(BLOCKS))))
+    own = lambda i: F.call_function("shiftrightunsigned", fp, i * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
+    entered = lambda i: F.transform(every, lambda m: F.struct(i.alias("block"), own(i).bitwiseXOR(m).alias("value")))
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(BLOCKS - 1)), entered))
 
 
 def _items(benchmark: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
