@@ -188,3 +188,21 @@ def test_chat_judge(tmp_path):
     assert sent[0].full_url == "http://there/v1/chat/completions" and sent[0].headers["Authorization"] == "Bearer k1" and body["max_tokens"] == 20 and "cGl4ZWxz" in body["messages"][0]["content"][2]["image_url"]["url"]
     with pytest.raises(RuntimeError, match="OPENAI_API_KEY"):
         ChatJudge(environment.Judge(), "m")("a", "b", [], [])
+
+
+def test_search_moves_no_matrix_and_keeps_ties(spark):
+    rng = np.random.default_rng(8)
+    few = rng.normal(size=(40, 6))
+    few /= np.linalg.norm(few, axis=1, keepdims=True)
+    rows = [(f"c{i:03d}", few[i % 40].tolist()) for i in rng.permutation(120).tolist()]  # each vector three times
+    rows += [("c000", few[7].tolist()), ("zero", [0.0] * 6), ("bad", [float("nan")] * 6)]
+    table = spark.createDataFrame(rows, "item_id string, vec array<double>")
+    found = knn.exact(table, 4, block=9)
+    assert "CartesianProduct" in found._jdf.queryExecution().executedPlan().toString()
+    want = set()
+    for own, v in rows:
+        others = sorted((-round(float(np.dot(v, w)), 12) + 0.0, other) for other, w in rows if other != own and np.isfinite(np.dot(v, w)))
+        want |= {(own, other, n + 1) for n, (_, other) in enumerate(others[:4])} if own != "c000" else set()
+    got = {(r["item_id"], r["neighbor_id"], r["rank"]) for r in found.collect()}
+    assert {g for g in got if g[0] != "c000"} == want
+    assert knn.probe(table.where("item_id <> 'bad'"), 4, cells=3, probes=3).where("rank = 1").count() == 121
