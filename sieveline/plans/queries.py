@@ -248,11 +248,11 @@ def diversity_score_exponents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def review_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many pairs each band of a sample has."""
-    zone = review.gray_zone(cl.unique_pairs(_neighbors(spark, sf_dir)), LOW, THRESHOLD)
+    zone = cut(review.gray_zone(cl.unique_pairs(_neighbors(spark, sf_dir)), LOW, THRESHOLD))
     kept = cut(review.stratified(zone, 50))
-    low, high = zone.agg(F.min("similarity"), F.max("similarity")).first()
-    band = F.least(F.lit(3), F.floor((F.col("similarity") - low) / (high - low) * 4)).cast("int")
-    return kept.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n"))
+    ends = zone.agg(F.min("similarity").alias("low"), F.max("similarity").alias("high"))  # nulls of an empty zone
+    band = F.least(F.lit(3), F.floor(F.try_divide(F.col("similarity") - F.col("low"), F.col("high") - F.col("low")) * 4)).cast("int")
+    return kept.join(F.broadcast(ends)).groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _rule(a: str, b: str, left: list[str], right: list[str]) -> str:

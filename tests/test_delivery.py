@@ -10,7 +10,7 @@ from sieveline.operators import clusters, knn, pooling, review, scoring
 from sieveline.operators.components import connected_components
 from sieveline.operators.numbering import numbered
 from sieveline.operators.search import Cells, Exact, index_for
-from sieveline.plans import delivery, report
+from sieveline.plans import delivery, queries, report
 from sieveline.sources import manifest
 from sieveline.sources.judge import ChatJudge
 from sieveline.streaming import manifests
@@ -206,3 +206,22 @@ def test_search_moves_no_matrix_and_keeps_ties(spark):
     got = {(r["item_id"], r["neighbor_id"], r["rank"]) for r in found.collect()}
     assert {g for g in got if g[0] != "c000"} == want
     assert knn.probe(table.where("item_id <> 'bad'"), 4, cells=3, probes=3).where("rank = 1").count() == 121
+
+
+def test_sample_reads_its_pairs_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            seen.add(len(part))
+            yield part
+
+    pairs = spark.range(100).selectExpr("concat('a', id) AS a", "concat('b', id) AS b", "id / 100 AS similarity").mapInPandas(counted, "a string, b string, similarity double")
+    assert review.stratified(pairs, 20).count() == 20 and seen.value == 100
+
+
+@pytest.mark.parametrize("xs, bands", [([[1.0, 0.0], [0.0, 1.0]], []), ([[1.0, 0.0], [0.375, 0.9270248]], [(3, 1)])])
+def test_bands_of_a_zone_without_width(spark, tmp_path, xs, bands):
+    rows = [(i, x, 1) for i, x in enumerate(xs)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert [tuple(r) for r in queries.review_bands(spark, str(tmp_path)).collect()] == bands
