@@ -293,8 +293,10 @@ def _read_back(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     elif kind == "jsonl":
         lines = rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
     else:
-        each = numbered(rows, "n").agg(F.array_sort(F.collect_list(F.struct("n", F.struct(*rows.columns).alias("r")))).alias("rs"))
-        lines = each.select(F.to_json(F.struct(F.transform("rs", lambda x: x["r"]).alias("clips"))).alias("value"))
+        each = numbered(rows, "n")
+        record = F.concat(F.when(F.col("n") > 1, ",").otherwise(""), F.to_json(F.struct(*rows.columns)))
+        ends = spark.createDataFrame([(0, '{"clips":['), ((1 << 63) - 1, "]}")], "n long, value string")
+        lines = each.select("n", record.alias("value")).unionByName(ends).orderBy("n").select("value")
     lines.coalesce(1).write.text(at)
     part = next(r["f"] for r in spark.read.text(at).select(F.input_file_name().alias("f")).distinct().collect())
     named = f"{at}.{kind}"

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
+from collections.abc import Iterator
 from datetime import datetime
 from pathlib import PurePosixPath
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +20,7 @@ from sieveline.storage import cut, exists
 # The fields that a manifest must have, those that are stripped, and the texts of the reasons.
 REQUIRED = ("item_id", "session_id", "parent_video_id", "worker_id", "timestamp", "clip_path")
 TRIMMED = REQUIRED[:-1]
+LISTS = ("clips", "items", "records", "data")
 #: Timestamps and numbers that are certain to be good; what it doesn't know goes to Python's own rules.
 CERTAIN = r"^(\d{4}-(0[1-9]|1[0-2])-(0[1-9]|1\d|2[0-8])([T ]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d)?(Z|[+-]([01]\d|2[0-3]):[0-5]\d)?)?|[+-]?\d+(\.\d*)?([eE][+-]?\d+)?)$"
 CERTAIN_NUMBER = r"^[+-]?\d{1,300}(\.\d*)?$"
@@ -39,12 +43,130 @@ def _fields(records: DataFrame) -> DataFrame:
     return rows.select(*(text(c).alias(c) for c in REQUIRED), F.col("m")["duration_seconds"].alias("duration_seconds"), *(F.col("m")[c].alias(c) for c in own), "row_number")
 
 
+class _Pieces:
+    """JSON text that arrives in pieces, of which little more is held than the value being read."""
+
+    #: Characters that are asked for at once.
+    chunk = 1 << 16
+
+    def __init__(self, pieces: Iterator[str]) -> None:
+        self.pieces, self.text, self.at, self.decoder = pieces, "", 0, json.JSONDecoder(strict=False)
+
+    def more(self, least: int = 0) -> bool:
+        got, n = [self.text[self.at :]], 0
+        while n < max(least, self.chunk) and (piece := next(self.pieces, None)) is not None:
+            got.append(piece)
+            n += len(piece)
+        self.text, self.at = "".join(got), 0
+        return n > 0
+
+    def peek(self) -> str:
+        """The next character that isn't blank; none at the end."""
+        while True:
+            while self.at < len(self.text):
+                if not self.text[self.at] in " \t\r\n":
+                    return self.text[self.at]
+                self.at += 1
+            if not self.more():
+                return ""
+
+    def take(self, wanted: str) -> str:
+        found = self.peek()
+        if not found or found not in wanted:
+            raise ValueError(f"the manifest is no JSON: {found!r} where one of {wanted} is due")
+        self.at += 1
+        return found
+
+    def value(self) -> str:
+        """The text of the next value."""
+        self.peek()
+        while True:
+            try:
+                _, end = self.decoder.raw_decode(self.text, self.at)
+                # A number that ends the text may go on.
+                if end < len(self.text) or not self.more():
+                    text, self.at = self.text[self.at : end], end
+                    return text
+            except ValueError:
+                if not self.more(len(self.text) - self.at + 1):
+                    raise
+
+    def listed(self) -> Iterator[str]:
+        self.take("[")
+        if self.peek() == "]":
+            self.take("]")
+            return
+        while True:
+            yield self.value()
+            if self.take(",]") == "]":
+                return
+
+
+def _records(text: _Pieces) -> Iterator[tuple[int, int, str | None]]:
+    """``(place, row_number, record)`` of the lists that may hold the records; row 0, without a record, says that a list is there."""
+    if text.peek() == "[":
+        yield 0, 0, None
+        yield from ((0, n, r) for n, r in enumerate(text.listed(), 1))
+    elif text.peek() == "{":
+        text.take("{")
+        seen, more = set(), text.peek() != "}"
+        while more:
+            name = json.loads(text.value(), strict=False)
+            text.take(":")
+            if name in seen:
+                raise ValueError(f"the manifest has {name!r} twice")
+            seen.add(name)
+            if name in LISTS and text.peek() == "[":
+                yield LISTS.index(name), 0, None
+                yield from ((LISTS.index(name), n, r) for n, r in enumerate(text.listed(), 1))
+            else:
+                text.value()
+            more = text.peek() != "}"
+            if more:
+                text.take(",")
+        text.take("}")
+    else:
+        text.value()
+    if text.peek():
+        raise ValueError("the manifest goes on after its end")
+
+
+def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces() -> Iterator[str]:
+        before, first = -1, True
+        for batch in batches:
+            for at, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if at < before:
+                    raise RuntimeError("the parts of the manifest come out of order")
+                yield value if first else "," + value
+                before, first = at, False
+
+    def batch(rows: list) -> pa.RecordBatch:
+        places, numbers, texts = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(numbers, pa.int64()), pa.array(texts, pa.string())], names=["place", "row_number", "record"])
+
+    rows = []
+    for row in _records(_Pieces(pieces())):
+        rows.append(row)
+        if len(rows) == 5000:
+            yield batch(rows)
+            rows = []
+    if rows:
+        yield batch(rows)
+
+
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """A list of objects, or an object with one under ``clips``, ``items``, ``records`` or ``data``."""
-    doc = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
-    pick = lambda p: F.try_variant_get("v", p, "array<variant>")
-    listed = F.coalesce(pick("$"), *(pick(f"$.{k}") for k in ("clips", "items", "records", "data")), F.raise_error(F.lit("a manifest holds a list of records")).cast("array<variant>"))
-    return _fields(doc.select(F.posexplode(listed).alias("i", "r")).select("r", (F.col("i") + 1).cast("long").alias("row_number")))
+    """A list of objects, or an object with one under ``clips``, ``items``, ``records`` or ``data``.
+
+    One task finds where records begin and end, and holds one of them at a time; they are
+    read by all.
+    """
+    parts = spark.read.option("lineSep", ",").text(path).select(F.col("_metadata.file_block_start").alias("at"), "value")
+    found = cut(parts.coalesce(1).mapInArrow(_streamed, "place int, row_number long, record string").repartition(max(2, spark.sparkContext.defaultParallelism)))
+    place = found.agg(F.min("place")).first()[0]
+    if place is None:
+        raise ValueError("a manifest holds a list of records")
+    return _fields(found.where((F.col("place") == place) & (F.col("row_number") > 0)).select(F.parse_json("record").alias("r"), "row_number"))
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -236,3 +236,29 @@ def test_report_is_told_in_pieces(spark, clips):
     told = json.loads(text)
     assert len(rows) > 20 and max(len(r["payload"]) for r in rows) < 1500 and text == json.dumps(told, indent=2, ensure_ascii=False) + "\n"
     assert told["duplicate_clusters"][0]["members"] == ["a", "b", "c"] and told["rejected_clips"] == [{"row_number": 3, "item_id": 'x"\n', "reason": "é"}] and len(told["clip_scores"]) == 5
+
+
+def test_json_manifest_is_read_record_by_record(spark, tmp_path):
+    held = []
+
+    def pieces(n):
+        yield '{"note": {"clips": [1]}, "data": [7], "clips": ['
+        for i in range(n):
+            held.append(text.text)
+            yield ("," if i else "") + ' {"a": "x, ]} \\"' + str(i)
+            yield '"}'
+        yield "]}"
+
+    text = manifest._Pieces(None)
+    text.pieces, text.chunk = pieces(2000), 1
+    found = list(manifest._records(text))
+    assert [json.loads(r)["a"] for p, n, r in found if p == 0 and n] == [f'x, ]}} "{i}' for i in range(2000)] and max(map(len, held)) < 200
+    assert list(manifest._records(manifest._Pieces(iter(["[1", "2,3", "4", " ]"])))) == [(0, 0, None), (0, 1, "12"), (0, 2, "34")]
+    for bad in ("[1 2]", "[1]]", "[1,", "", "{} 1"):
+        with pytest.raises(ValueError):
+            list(manifest._records(manifest._Pieces(iter([bad]))))
+    for name, body in (("list", "[]"), ("none", '{"x": []}')):
+        (tmp_path / f"{name}.json").write_text(body)
+    assert manifest.read(spark, f"{tmp_path}/list.json").count() == 0
+    with pytest.raises(ValueError):
+        manifest.read(spark, f"{tmp_path}/none.json")
