@@ -1,5 +1,6 @@
 import json
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -208,6 +209,24 @@ def test_search_moves_no_matrix_and_keeps_ties(spark):
     assert knn.probe(table.where("item_id <> 'bad'"), 4, cells=3, probes=3).where("rank = 1").count() == 121
 
 
+def test_products_of_a_block_stay_small():
+    rng = np.random.default_rng(8)
+    m = rng.normal(size=(3 * 2048, 16))
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    ids = np.array([f"c{i:05d}" for i in range(len(m))], dtype=object)
+    best = knn._Best(ids[:2048], m[:2048], None, 3)
+    best.see(ids[:2048], m[:2048], 0)
+    best.see(ids[2048:4096], m[2048:4096], 0)
+    tracemalloc.start()
+    best.see(ids[4096:], m[4096:], 0)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 2048 * knn.SLAB * 4  # less than the products of all columns
+    s = np.round(m[:2048] @ m.T, 12)
+    s[np.arange(2048), np.arange(2048)] = -2
+    assert (best.whom == ids[np.argsort(-s, axis=1, kind="stable")[:, :3]]).all()
+
+
 def test_sample_reads_its_pairs_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
