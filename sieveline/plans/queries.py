@@ -21,7 +21,7 @@ from sieveline.operators.search import Cells
 from sieveline.plans import delivery, report
 from sieveline.sources import embedding, manifest
 from sieveline.sources import frames as media
-from sieveline.storage import cut, rename, shared_folder
+from sieveline.storage import cut, joined, remove, shared_folder
 
 K, THRESHOLD, LOW, FLAG = 10, 0.40, 0.35, 3
 PLACES = 6
@@ -284,12 +284,11 @@ def review_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _read_back(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """The clips of the dirty manifest after it went through a file."""
     at = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
-    rows = _dirty(spark, sf_dir).orderBy("row_number").drop("row_number")
+    rows, head = _dirty(spark, sf_dir).orderBy("row_number").drop("row_number"), ""
     if kind == "csv":
         # Every field in quotes, as the writer would drop blanks and nulls alike.
         line = F.concat_ws(",", *(F.concat(F.lit('"'), F.coalesce(c, F.lit("")), F.lit('"')) for c in rows.columns))
-        head = spark.createDataFrame([(0, ",".join(rows.columns))], "n long, value string")
-        lines = numbered(rows.select(line.alias("value")), "n").select("n", "value").unionByName(head).orderBy("n").select("value")
+        lines, head = rows.select(line.alias("value")), ",".join(rows.columns) + "\n"
     elif kind == "jsonl":
         lines = rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
     else:
@@ -297,10 +296,10 @@ def _read_back(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         record = F.concat(F.when(F.col("n") > 1, ",").otherwise(""), F.to_json(F.struct(*rows.columns)))
         ends = spark.createDataFrame([(0, '{"clips":['), ((1 << 63) - 1, "]}")], "n long, value string")
         lines = each.select("n", record.alias("value")).unionByName(ends).orderBy("n").select("value")
-    lines.coalesce(1).write.text(at)
-    part = next(r["f"] for r in spark.read.text(at).select(F.input_file_name().alias("f")).distinct().collect())
+    lines.write.text(at)
     named = f"{at}.{kind}"
-    rename(spark, part, named)
+    joined(spark, at, named, head)
+    remove(spark, at)
     dealt = manifest.clips(manifest.classified(manifest.read(spark, named), "/media"))
     return dealt.select("row_number", "item_id", "worker_id", "timestamp", "clip_path", "duration_seconds")
 

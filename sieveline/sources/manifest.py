@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 from datetime import datetime
 from pathlib import PurePosixPath
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +31,128 @@ CERTAIN_NUMBER = r"^[+-]?\d{1,300}(\.\d*)?$"
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text; a short row's are empty. ``row_number`` counts data rows from 1."""
-    rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return numbered(rows.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns)), "row_number")
+    rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)  # reads the names alone
+    found = _csv_rows(spark, path)
+    if found is None:
+        return numbered(rows.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns)), "row_number")
+    return found.select(*(F.coalesce(F.get("fields", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(rows.columns)), "row_number")
+
+
+#: A well-formed field with the comma before it, and a whole record of them.
+_FIELD = re.compile(r',(?:"((?:[^"]|"")*)"|([^",]*))')
+_RECORD = re.compile(r'(?:,(?:"(?:[^"]|"")*+"|[^",]*+))++')
+
+
+def _csv_fields(record: str) -> list[str] | None:
+    """The fields of a record; none if it is malformed."""
+    if '"' not in record:
+        return record.split(",")
+    record = "," + record
+    return [q.replace('""', '"') or plain for q, plain in _FIELD.findall(record)] if _RECORD.fullmatch(record) else None
+
+
+def _csv_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """``(fields, row_number)`` of a CSV file's data rows, read by its splits.
+
+    Whether a line begins a record follows from the number of quotes before it, which is even
+    then, if all records are well-formed. None if one isn't, if lines end in some other way than
+    the first, or if there is more than one file; such are read as a whole by Spark's own rules.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    head = lines.where("at = 0").select("value").head()
+    first = head["value"] if head else ""
+    crlf = first.endswith("\r")
+    if not first or "\r" in first.removesuffix("\r"):
+        return None
+
+    def ended(record: str) -> str:
+        return record.removesuffix("\r").replace("\r\n", "\n") if crlf else record
+
+    def blank(values: pa.Array) -> np.ndarray:
+        sizes = pc.binary_length(values).to_numpy(zero_copy_only=False)
+        return (sizes == 0) | ((sizes == 1) & pc.equal(values, "\r").to_numpy(zero_copy_only=False)) if crlf else sizes == 0
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each split, the records that begin in it if it begins outside of quotes, and if inside; and its quotes' parity."""
+        told: dict[tuple[str, int], list[int]] = {}
+        for batch in batches:
+            for key, values in _by_split(batch):
+                quotes = pc.count_substring(values, '"').to_numpy(zero_copy_only=False)
+                own = told.setdefault(key, [0, 0, 0])
+                before = (own[2] + np.cumsum(quotes) - quotes) % 2
+                filled = ~blank(values)
+                own[0] += int((filled & (before == 0)).sum())
+                own[1] += int((filled & (before == 1)).sum())
+                own[2] = int(own[2] + quotes.sum()) % 2
+        rows = [(*key, *own) for key, own in told.items()]
+        yield pa.RecordBatch.from_pylist([dict(zip(("file", "at", "outside", "inside", "odd"), r)) for r in rows], schema=pa.schema([("file", pa.string()), ("at", pa.int64()), ("outside", pa.int64()), ("inside", pa.int64()), ("odd", pa.int64())]))
+
+    splits = sorted(tuple(r) for r in lines.mapInArrow(counted, "file string, at long, outside long, inside long, odd long").collect())  # one for each split
+    if len({file for file, *_ in splits}) > 1:
+        return None
+    begins, inside, number = {}, 0, 0
+    for file, at, *starts, odd in splits:
+        begins[file, at] = (inside, number)
+        number, inside = number + starts[inside], (inside + odd) % 2
+    if inside:
+        return None
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Records with their numbers from 1, the header's first; those that go on beyond a split in parts, and malformed ones without fields."""
+        open_: dict[tuple[str, int], tuple[int, int, list[str]]] = {}
+        for batch in batches:
+            rows: list[tuple] = []
+            for key, values in _by_split(batch):
+                quoted, n, held = open_.get(key) or (*begins[key], [])
+                for value, odd in zip(values.to_pylist(), (pc.count_substring(values, '"').to_numpy(zero_copy_only=False) % 2).tolist()):
+                    if not quoted:
+                        if value in ("", "\r") and (crlf or not value):
+                            continue
+                        n += 1
+                    quoted ^= odd
+                    if quoted or held or (n == begins[key][1] and begins[key][0]):
+                        held.append(value)
+                        if quoted:
+                            continue
+                        value, held = "\n".join(held), []
+                        if n == begins[key][1]:  # it began in a split before
+                            rows.append((n, key[1], value, None))
+                            continue
+                    rows.append((n, -1, None, _csv_fields(ended(value))))
+                open_[key] = quoted, n, held
+            if rows:
+                yield _csv_batch(rows)
+        rows = [(n, at, "\n".join(held), None) for (_, at), (_, n, held) in open_.items() if held]
+        if rows:
+            yield _csv_batch(rows)
+
+    found = cut(lines.mapInArrow(read, "n long, part long, text string, fields array<string>"))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("part", "text"))), lambda p: p["text"])
+    torn = found.where("part >= 0").groupBy("n").agg(F.array_join(parts, "\n").alias("text"))
+
+    def mended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _csv_batch([(n, -1, None, _csv_fields(ended(t))) for n, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())])
+
+    every = found.where("part = -1").unionByName(cut(torn.mapInArrow(mended, "n long, part long, text string, fields array<string>")))
+    if not every.where("fields IS NULL").isEmpty():
+        return None
+    return every.where("n > 1").select("fields", (F.col("n") - 1).alias("row_number"))
+
+
+def _by_split(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.Array]]:
+    """Runs of rows of one split of a file, from ``(file, at, value)``."""
+    if not batch.num_rows:
+        return
+    at, files = batch.column(1).to_numpy(zero_copy_only=False), batch.column(0)
+    ends = [*(np.flatnonzero((np.diff(at) != 0) | pc.not_equal(files[1:], files[:-1]).to_numpy(zero_copy_only=False)) + 1).tolist(), batch.num_rows]
+    for start, end in zip([0, *ends], ends):
+        yield (files[start].as_py(), int(at[start])), batch.column(2)[start:end]
+
+
+def _csv_batch(rows: list[tuple]) -> pa.RecordBatch:
+    n, part, text, fields = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(part, pa.int64()), pa.array(text, pa.string()), pa.array(fields, pa.list_(pa.string()))], names=["n", "part", "text", "fields"])
 
 
 def _fields(records: DataFrame) -> DataFrame:

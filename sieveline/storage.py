@@ -44,7 +44,19 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(at, True)
 
 
-def rename(spark: SparkSession, path: str, to: str) -> None:
-    system, at = _file_system(spark, path)
-    if not system.rename(at, spark._jvm.org.apache.hadoop.fs.Path(to)):
-        raise OSError(f"{path} can't be renamed to {to}")
+def joined(spark: SparkSession, folder: str, to: str, head: str = "") -> None:
+    """One file of ``head`` and the parts that Spark wrote in ``folder``, in their order; its bytes pass through the driver, and none are held."""
+    system, at = _file_system(spark, folder)
+    jvm = spark._jvm
+    parts = sorted(p for p in (str(f.getPath()) for f in system.listStatus(at)) if p.rsplit("/", 1)[1].startswith("part-"))
+    out = system.create(jvm.org.apache.hadoop.fs.Path(to), False)
+    try:
+        out.write(bytearray(head.encode()))
+        for part in parts:
+            source = system.open(jvm.org.apache.hadoop.fs.Path(part))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20)
+            finally:
+                source.close()
+    finally:
+        out.close()

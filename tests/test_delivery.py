@@ -281,3 +281,25 @@ def test_json_manifest_is_read_record_by_record(spark, tmp_path):
     assert manifest.read(spark, f"{tmp_path}/list.json").count() == 0
     with pytest.raises(ValueError):
         manifest.read(spark, f"{tmp_path}/none.json")
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_manifest_is_read_by_splits(spark, tmp_path, end):
+    long = '"' + "a, b\n" * 40 + '""c"'  # longer than a split
+    lines = ["h1,h2,h3", *(f'{i},"x, ""{i}""",' if i % 7 else f"{i},{long}," for i in range(60)), "", "short", "h1,h2,h3"]
+    (tmp_path / "m.csv").write_bytes((end.join(lines) + end).encode())
+    want = [(str(i), f'x, "{i}"' if i % 7 else "a, b\n" * 40 + '"c', "", i + 1) for i in range(60)]
+    want += [("short", "", "", 61), ("h1", "h2", "h3", 62)]
+    whole = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "0"}
+    kept = {k: spark.conf.get(k, None) for k in whole}
+    try:
+        for k, v in whole.items():
+            spark.conf.set(k, v)
+        rows = manifest.read_csv(spark, str(tmp_path / "m.csv"))
+        assert rows.select(F.spark_partition_id()).distinct().count() > 10
+        assert [tuple(r) for r in rows.orderBy("row_number").collect()] == want
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    (tmp_path / "n.csv").write_text('h1,h2\n5" a,b\nc,"d"\n')  # a quote inside a field
+    assert [tuple(r) for r in manifest.read_csv(spark, str(tmp_path / "n.csv")).orderBy("row_number").collect()] == [('5" a', "b", 1), ("c", "d", 2)]
