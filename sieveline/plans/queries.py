@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -21,7 +20,7 @@ from sieveline.operators.search import Cells
 from sieveline.plans import delivery, report
 from sieveline.sources import embedding, manifest
 from sieveline.sources import frames as media
-from sieveline.storage import cut, joined, remove, shared_folder
+from sieveline.storage import copied, cut, joined, remove, shared_folder
 
 K, THRESHOLD, LOW, FLAG = 10, 0.40, 0.35, 3
 PLACES = 6
@@ -334,7 +333,7 @@ def safe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _assembled(spark: SparkSession, sf_dir: str) -> report.Assembled:
     how = config.Config(clustering=config.Clustering(similarity_threshold=THRESHOLD))
-    rejected = manifest.rejected(manifest.classified(_dirty(spark, sf_dir), "/media"))
+    rejected = cut(manifest.rejected(manifest.classified(_dirty(spark, sf_dir), "/media")))
     return report.assembled(spark, _scored(spark, sf_dir), _manifest(spark, sf_dir), rejected, how)
 
 
@@ -389,11 +388,10 @@ def report_json_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rejected_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rejected rows as the run writes them, read back."""
+    at = f"{shared_folder(spark)}/rejected-{uuid.uuid4().hex}.csv"
     with tempfile.TemporaryDirectory() as folder:
-        at = report.written(_assembled(spark, sf_dir), folder)["rejected_csv"]
-        with open(at, encoding="utf-8", newline="") as f:
-            rows = [(int(r["row_number"]), r["item_id"], r["reason"]) for r in csv.DictReader(f)]
-    return spark.createDataFrame(rows, "row_number long, item_id string, reason string")
+        copied(spark, report.written(_assembled(spark, sf_dir), folder)["rejected_csv"], at)
+    return manifest.csv_rows(spark, at).select(F.col("row_number").cast("long").alias("row_number"), "item_id", "reason")
 
 
 def unclean_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

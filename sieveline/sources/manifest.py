@@ -31,11 +31,17 @@ CERTAIN_NUMBER = r"^[+-]?\d{1,300}(\.\d*)?$"
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text; a short row's are empty. ``row_number`` counts data rows from 1."""
+    return csv_rows(spark, path, "row_number")
+
+
+def csv_rows(spark: SparkSession, path: str, number: str | None = None) -> DataFrame:
+    """As :func:`read_csv`, with the rows' numbers under another name, or without."""
     rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)  # reads the names alone
     found = _csv_rows(spark, path)
     if found is None:
-        return numbered(rows.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns)), "row_number")
-    return found.select(*(F.coalesce(F.get("fields", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(rows.columns)), "row_number")
+        whole = rows.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns))
+        return numbered(whole, number) if number else whole
+    return found.select(*(F.coalesce(F.get("fields", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(rows.columns)), *([F.col("row_number").alias(number)] if number else []))
 
 
 #: A well-formed field with the comma before it, and a whole record of them.

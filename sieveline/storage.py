@@ -60,3 +60,9 @@ def joined(spark: SparkSession, folder: str, to: str, head: str = "") -> None:
                 source.close()
     finally:
         out.close()
+
+
+def copied(spark: SparkSession, path: str, to: str) -> None:
+    """A copy of the driver's file where all can read it."""
+    system, at = _file_system(spark, to)
+    system.copyFromLocalFile(spark._jvm.org.apache.hadoop.fs.Path(f"file://{path}"), at)

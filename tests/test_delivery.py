@@ -1,3 +1,4 @@
+import csv
 import json
 import random
 import tracemalloc
@@ -303,3 +304,25 @@ def test_csv_manifest_is_read_by_splits(spark, tmp_path, end):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     (tmp_path / "n.csv").write_text('h1,h2\n5" a,b\nc,"d"\n')  # a quote inside a field
     assert [tuple(r) for r in manifest.read_csv(spark, str(tmp_path / "n.csv")).orderBy("row_number").collect()] == [('5" a', "b", 1), ("c", "d", 2)]
+
+
+def test_report_reaches_the_driver_in_chunks(spark, clips, tmp_path, monkeypatch):
+    d = delivery.score(clips, 0.91)
+    people = clips.select("item_id", F.lit("w").alias("worker_id"), F.lit("s").alias("session_id"))
+    rejected = spark.range(3000).coalesce(1).select((F.col("id") + 1).alias("row_number"), F.concat(F.lit('x,"\n'), "id").alias("item_id"), F.lit("é").alias("reason"))
+    said = report.assembled(spark, d, people, rejected, config.Config())
+    seen, plain = [], type(clips).toLocalIterator
+
+    def counted(self, *args, **kwargs):
+        for row in plain(self, *args, **kwargs):
+            seen.append(row)
+            yield row
+
+    monkeypatch.setattr(type(clips), "toLocalIterator", counted)
+    files = report.written(said, str(tmp_path))
+    assert len(seen) < 300
+    with open(files["rejected_csv"], encoding="utf-8", newline="") as f:
+        rows = list(csv.DictReader(f))
+    assert rows == [{"row_number": str(i + 1), "item_id": f'x,"\n{i}', "reason": "é"} for i in range(3000)]
+    with open(files["json"], encoding="utf-8") as f:
+        assert [r["row_number"] for r in json.load(f)["rejected_clips"]] == list(range(1, 3001))
